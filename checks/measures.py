@@ -606,3 +606,247 @@ add(
     _periods_sql(),
     **PAIRED,
 )
+
+# --- whole-period shifts, trends, anchored and composite figures ----------------
+
+
+def _shift(names: str, grain: str, number: str):
+    def plan(spark, folder):
+        found = names.split()
+        out = shift_compare(Star(loaded(spark, folder)), found, grain)
+        for n in found:
+            out = out.withColumnsRenamed({n: f"v_{n}", f"{n}__prior": f"p_{n}", f"{n}__pct": f"c_{n}"})
+        return out
+
+    return plan
+
+
+def _shift_sql(values: str, number: str, names: str, top: int) -> str:
+    found = names.split()
+    shown = ", ".join(
+        f"a.{n} AS v_{n}, b.{n} AS p_{n}, (coalesce(a.{n}, 0)::DOUBLE - b.{n}::DOUBLE) / nullif(b.{n}::DOUBLE, 0) AS c_{n}"
+        for n in found
+    )
+    return f"""SELECT coalesce(a.{number}, b.{number} + 1) AS {number}, {shown} FROM ({values}) a
+               FULL JOIN ({values}) b ON a.{number} = b.{number} + 1 WHERE coalesce(a.{number}, b.{number} + 1) <= {top}"""
+
+
+_STARS = """
+    SELECT year(day) * 12 + month(day) AS month_index,
+           nullif(count(*) FILTER (review_score = 1), 0) / count(*) AS "1_star_rate",
+           nullif(count(*) FILTER (review_score = 5), 0) / count(*) AS "5_star_rate",
+           nullif(count(message), 0) / count(*) AS reviews_with_comments
+    FROM f_reviews WHERE year(day) BETWEEN 1995 AND 2001 GROUP BY 1
+"""
+add(
+    "month_shift_compare",
+    "month_index:i v_1_star_rate:r p_1_star_rate:r c_1_star_rate:r v_5_star_rate:r p_5_star_rate:r c_5_star_rate:r "
+    "v_reviews_with_comments:r p_reviews_with_comments:r c_reviews_with_comments:r",
+    _shift("1_star_rate 5_star_rate reviews_with_comments", "month", "month_index"),
+    _shift_sql(_STARS, "month_index", "one_star five_star reviews_with_comments", 2001 * 12 + 12)
+    .replace('"1_star_rate"', "one_star")
+    .replace('"5_star_rate"', "five_star")
+    .replace("v_one_star", "v_1_star_rate")
+    .replace("p_one_star", "p_1_star_rate")
+    .replace("c_one_star", "c_1_star_rate")
+    .replace("v_five_star", "v_5_star_rate")
+    .replace("p_five_star", "p_5_star_rate")
+    .replace("c_five_star", "c_5_star_rate"),
+)
+_REPEAT_Q = """
+    SELECT qi AS quarter_index, nullif(count(*) FILTER (n > 1), 0) AS repeat_customers
+    FROM (SELECT year(day) * 4 + quarter(day) AS qi, customer_sk, count(DISTINCT order_id_bk) AS n FROM mi
+          WHERE year IS NOT NULL GROUP BY 1, 2) GROUP BY 1
+"""
+add(
+    "quarter_shift_compare",
+    "quarter_index:i v_repeat_customers:n p_repeat_customers:n c_repeat_customers:r",
+    _shift("repeat_customers", "quarter", "quarter_index"),
+    _shift_sql(_REPEAT_Q, "quarter_index", "repeat_customers", 2001 * 4 + 4),
+    **BLK,
+)
+_REPEAT_Y = "SELECT year, sum(v) FILTER (ever > 1) AS repeat_customer_revenue FROM buyer WHERE year IS NOT NULL GROUP BY 1"
+add(
+    "year_shift_compare",
+    "year:i v_repeat_customer_revenue:n p_repeat_customer_revenue:n c_repeat_customer_revenue:r",
+    _shift("repeat_customer_revenue", "year", "year"),
+    _shift_sql(_REPEAT_Y, "year", "repeat_customer_revenue", 2001),
+    **BLK,
+    buyer=_BUYERS,
+)
+
+SHIFTS = [n for n, m in M.MEASURES.items() if isinstance(m, M.Shift)]
+TRENDS = [n for n, m in M.MEASURES.items() if isinstance(m, M.Trend)]
+_SHIFT_SQL = {
+    "1_star_rate": ("one_star", "month_index", 2001 * 12 + 7, _STARS.replace('"1_star_rate"', "one_star").replace('"5_star_rate"', "five_star")),
+    "5_star_rate": ("five_star", "month_index", 2001 * 12 + 7, _STARS.replace('"1_star_rate"', "one_star").replace('"5_star_rate"', "five_star")),
+    "reviews_with_comments": ("reviews_with_comments", "month_index", 2001 * 12 + 7, _STARS.replace('"1_star_rate"', "one_star").replace('"5_star_rate"', "five_star")),
+    "repeat_customers": ("repeat_customers", "quarter_index", 2001 * 4 + 3, _REPEAT_Q),
+    "repeat_customer_revenue": ("repeat_customer_revenue", "year", 2001, _REPEAT_Y),
+}
+
+
+def _shift_value(n: str) -> str:
+    """SQL for one shift figure at the anchor's period."""
+    m = M.MEASURES[n]
+    column, number, at, values = _SHIFT_SQL[m.base]
+    now = f"(SELECT {column}::DOUBLE FROM ({values}) WHERE {number} = {at})"
+    then = f"(SELECT {column}::DOUBLE FROM ({values}) WHERE {number} = {at} - 1)"
+    return then if m.part == "prior" else f"(coalesce({now}, 0) - {then}) / nullif({then}, 0)"
+
+
+add(
+    "shift_comparisons",
+    "measure:s value:r",
+    lambda s, f: as_rows(evaluate(Star(loaded(s, f)), SHIFTS, anchor=DAY), SHIFTS),
+    " UNION ALL ".join(f"SELECT '{n}' AS measure, {_shift_value(n)} AS value" for n in SHIFTS),
+    **BLK,
+    buyer=_BUYERS,
+)
+
+
+def _trend_sql() -> str:
+    rows = []
+    for n in TRENDS:
+        m = M.MEASURES[n]
+        source = m.base
+        while isinstance(M.MEASURES[source], M.Calc):
+            source = M.MEASURES[source].deps[0]
+        value = (
+            f"(SELECT value FROM changes WHERE measure = '{source}')"
+            if isinstance(M.MEASURES[source], M.Period)
+            else _shift_value(source)
+        )
+        up, down = ("good", "bad") if m.kind == "color" else ("up", "down")
+        flat = "neutral" if m.kind == "color" else "flat"
+        sign = "" if m.higher_is_better else "-"
+        rows.append(
+            f"SELECT '{n}' AS measure, CASE WHEN {sign}v > 0 THEN '{up}' WHEN {sign}v < 0 THEN '{down}' ELSE '{flat}' END AS mark "
+            f"FROM (SELECT {value} AS v)"
+        )
+    return " UNION ALL ".join(rows)
+
+
+def _trend_rows(spark, folder):
+    frame = evaluate(Star(loaded(spark, folder)), TRENDS, anchor=DAY)
+    pairs = [F.struct(F.lit(n).alias("measure"), F.col(n).alias("mark")) for n in TRENDS]
+    return frame.select(F.inline(F.array(*pairs)))
+
+
+add("trend_flags", "measure:s mark:s", _trend_rows, _trend_sql(), **PAIRED, buyer=_BUYERS, changes=_periods_sql())
+add(
+    "revenue_delta",
+    "customer_state:s revenue_mom_delta:n revenue_pm:n revenue_mom_pct:r",
+    figures("revenue_mom_delta revenue_pm revenue_mom_pct", by=["customer_state"], anchor=DAY),
+    """SELECT customer_state, coalesce(c, 0)::DOUBLE - coalesce(p, 0)::DOUBLE AS revenue_mom_delta, p AS revenue_pm,
+              (coalesce(c, 0)::DOUBLE - p::DOUBLE) / nullif(p::DOUBLE, 0) AS revenue_mom_pct
+       FROM (SELECT customer_state, sum(line_total) FILTER (day BETWEEN DATE '2001-07-01' AND DATE '2001-07-20') AS c,
+                    sum(line_total) FILTER (day BETWEEN DATE '2001-06-01' AND DATE '2001-06-20') AS p FROM mi GROUP BY 1)
+       WHERE c IS NOT NULL OR p IS NOT NULL""",
+    **BLK,
+)
+add(
+    "rank_change_yoy",
+    "product_category_name:s category_rank_change_yoy:n",
+    figures(
+        "category_rank_change_yoy",
+        by=["product_category_name"],
+        windows={"half": (dt.date(2000, 1, 1), dt.date(2000, 6, 30))},
+    ),
+    """SELECT product_category_name, b.r - a.r AS category_rank_change_yoy
+       FROM (SELECT product_category_name, dense_rank() OVER (ORDER BY sum(line_total) DESC) AS r FROM mi
+             WHERE day BETWEEN DATE '2000-01-01' AND DATE '2000-06-30' GROUP BY 1) a
+       FULL JOIN (SELECT product_category_name, dense_rank() OVER (ORDER BY sum(line_total) DESC) AS r FROM mi
+             WHERE day BETWEEN DATE '1999-01-01' AND DATE '1999-06-30' GROUP BY 1) b USING (product_category_name)""",
+    **BLK,
+)
+add(
+    "rolling_3m",
+    "product_category_name:s rolling_3m_avg_revenue:r",
+    figures("rolling_3m_avg_revenue", by=["product_category_name"]),
+    """SELECT product_category_name, avg(v::DOUBLE) AS rolling_3m_avg_revenue
+       FROM (SELECT product_category_name, day, sum(line_total) AS v FROM mi, anchor
+             WHERE day > a - INTERVAL 3 MONTH AND day <= a GROUP BY 1, 2) GROUP BY 1""",
+    **TIME,
+)
+add(
+    "cagr",
+    "customer_state:s first_year_revenue:n last_year_revenue:n revenue_cagr:r",
+    figures("first_year_revenue last_year_revenue revenue_cagr", by=["customer_state"]),
+    """SELECT customer_state, f AS first_year_revenue, l AS last_year_revenue,
+              pow(coalesce(l::DOUBLE / f::DOUBLE, 0), 1 / 6.0) - 1 AS revenue_cagr
+       FROM (SELECT customer_state, sum(line_total) FILTER (year = 1995) AS f, sum(line_total) FILTER (year = 2001) AS l
+             FROM mi GROUP BY 1)""",
+    **BLK,
+)
+add(
+    "forecast_scenarios",
+    "base_forecast:r optimistic_forecast:r pessimistic_forecast:r forecast_periods:i ytd_revenue:n revenue_growth_rate:r "
+    "category_growth_rate_yoy:r",
+    figures(
+        "base_forecast optimistic_forecast pessimistic_forecast forecast_periods ytd_revenue revenue_growth_rate "
+        "category_growth_rate_yoy",
+        anchor=DAY,
+    ),
+    """SELECT mtd AS base_forecast, mtd::DOUBLE * 1.15 AS optimistic_forecast, mtd::DOUBLE * 0.9 AS pessimistic_forecast,
+              3 AS forecast_periods, ytd_revenue, (mtd - pm)::DOUBLE / pm::DOUBLE AS revenue_growth_rate,
+              ((SELECT sum(line_total) FROM f_items) - py)::DOUBLE / py::DOUBLE AS category_growth_rate_yoy
+       FROM we WHERE grain = 'month' AND w = 'curr'""",
+    **{**TIME, "anchor": FIXED},
+)
+_NOW = """
+    SELECT (SELECT count(DISTINCT order_id_bk) FROM f_items) AS n, sum(line_total)::DOUBLE AS rev,
+           (SELECT avg(days_purchase_to_delivery) FROM f_life) AS d,
+           (SELECT avg((coalesce(days_delivery_variance, 0) <= 0)::INT) FROM f_life) AS ot,
+           (SELECT count(*) FROM f_life WHERE order_status = 'canceled') AS c,
+           (SELECT count(*) FROM f_life WHERE order_status = 'delivered') AS dl,
+           (SELECT avg(review_score) FROM f_reviews) AS s,
+           (SELECT count(DISTINCT order_id_bk) FROM f_payments) AS p FROM f_items
+"""
+add(
+    "health_score",
+    "operational_health_score:r",
+    figures("operational_health_score"),
+    "SELECT (dl / n::DOUBLE + ot + s / 5 + p / n::DOUBLE + 1) / 5 AS operational_health_score FROM now_",
+    now_=_NOW,
+)
+add(
+    "risk_score",
+    "composite_risk_score:r",
+    figures("composite_risk_score"),
+    """SELECT round(least((d - 12) / 12 * 100, 100) * 0.4 + greatest((4 - s) / 4 * 100, 0) * 0.35
+                    + least(c / n::DOUBLE / 0.05 * 100, 100) * 0.25, 1) AS composite_risk_score FROM now_""",
+    now_=_NOW,
+)
+add(
+    "anomaly_count",
+    "active_anomalies:i",
+    figures("active_anomalies", anchor=DAY),
+    """SELECT (d > 15)::INT + (s < 3.8)::INT + (c / n::DOUBLE > 0.05)::INT
+              + (SELECT ((mtd - pm)::DOUBLE / pm::DOUBLE < -0.05)::INT FROM we WHERE grain = 'month' AND w = 'curr')
+              AS active_anomalies FROM now_""",
+    now_=_NOW,
+    **{**TIME, "anchor": FIXED},
+)
+add(
+    "insight_text",
+    "ai_insight_revenue:s ai_insight_operations:s ai_insight_customer:s",
+    figures("ai_insight_revenue ai_insight_operations ai_insight_customer", anchor=DAY),
+    f"""SELECT 'Revenue is ' || CASE WHEN y >= 0 THEN 'up' ELSE 'down' END || ' ' || printf('%.1f', abs(y) * 100)
+              || '% YoY. Total GMV: ' || format('{{:,}}', round(rev)::BIGINT) || '. '
+              || CASE WHEN y > 0.1 THEN '{M.STRONG}' WHEN y < -0.05 THEN '{M.DECLINE}' ELSE '{M.STABLE}' END AS ai_insight_revenue,
+              'Avg delivery: ' || printf('%.1f', d) || ' days (' || printf('%.0f', ot * 100) || '% on-time). Review score: '
+              || printf('%.2f', s) || '/5. '
+              || CASE WHEN d > 15 THEN '{M.SLOW}' WHEN s < 3.8 THEN '{M.UNHAPPY}' ELSE '{M.FINE}' END AS ai_insight_operations,
+              format('{{:,}}', k) || ' unique buyers (' || printf('%+.1f', ky * 100) || '% YoY). Repeat rate: '
+              || printf('%.1f', r * 100) || '%. '
+              || CASE WHEN r < 0.05 THEN '{M.LEAVING}' WHEN r > 0.15 THEN '{M.LOYAL}' ELSE '{M.MODERATE}' END AS ai_insight_customer
+       FROM now_, (SELECT count(DISTINCT customer_sk) AS k FROM f_items),
+            (SELECT count(*) FILTER (n > 1)::DOUBLE / count(*) AS r
+             FROM (SELECT count(DISTINCT order_id_bk) AS n FROM f_items GROUP BY customer_sk)),
+            (SELECT (c.total_revenue - p.total_revenue)::DOUBLE / p.total_revenue::DOUBLE AS y,
+                    (c.total_customers - p.total_customers)::DOUBLE / p.total_customers AS ky
+             FROM (SELECT * FROM wi WHERE grain = 'year' AND w = 'curr') c, (SELECT * FROM wi WHERE grain = 'year' AND w = 'prior') p)""",
+    now_=_NOW,
+    **{**TIME, "anchor": FIXED},
+)
