@@ -553,7 +553,8 @@ def _headline(grain: str, anchor: dt.date | None):
 
     def plan(spark, folder):
         ctx = Context(roles={"lifecycle": "purchase"}, anchor=anchor)
-        both = to_date_compare(Star(loaded(spark, folder)), HEADLINE, grain, ctx)
+        both = to_date_compare(Star(loaded(spark, folder)), {grain: HEADLINE}, ctx)
+        both = both.withColumnsRenamed({f"{b}__{grain}__{w}": f"{b}__{w}" for b in HEADLINE for w in ("curr", "prior")})
         return both.select("*", *[change(F.col(f"{b}__curr"), F.col(f"{b}__prior")).alias(f"{b}__pct") for b in HEADLINE])
 
     return plan

@@ -116,6 +116,8 @@ def reachable(fact: str, attributes: Sequence[str]) -> list[str]:
 
 
 Window_ = tuple[dt.date, dt.date]
+ALL_TIME = "all time"
+ANY_DAY = (dt.date.min, dt.date.max)
 
 
 @dataclass(frozen=True)
@@ -187,12 +189,17 @@ def _fits(attribute: str, values: Sequence) -> Column:
     return F.col(attribute).isin(list(values))
 
 
+def _disjoint(windows: Mapping[str, Window_]) -> bool:
+    spans = sorted(windows.values())
+    return all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
+
+
 def _label(key: Column, windows: Mapping[str, Window_]) -> Column:
-    out = None
-    for label, (lo, hi) in windows.items():
-        inside = key.between(day_key(lo), day_key(hi))
-        out = F.when(inside, label) if out is None else out.when(inside, label)
-    return out
+    """Label of the window a day lies in; overlapping windows give one row for each."""
+    marks = [F.when(key.between(day_key(lo), day_key(hi)), label) for label, (lo, hi) in windows.items()]
+    if _disjoint(windows):
+        return F.coalesce(*marks)
+    return F.explode(F.array_compact(F.array(*marks)))
 
 
 def rows(star: Star, fact: str, attributes: Sequence[str], ctx: Context) -> DataFrame:
@@ -305,16 +312,18 @@ def _buyers(star: Star, attributes: Sequence[str], ctx: Context) -> DataFrame:
     inside = reduce(Column.__and__, [_fits(a, v) for a, v in date_filter.items()], F.lit(True))
     items = items.withColumn("_in", F.coalesce(inside, F.lit(False)))
     if ctx.windows:
-        items = items.withColumn("_win", _label(F.col("purchase_date_key"), ctx.windows))
+        # rows outside every window still count towards the orders of all time
+        items = items.withColumn("_win", _label(F.col("purchase_date_key"), {**ctx.windows, ALL_TIME: ANY_DAY}))
     groups = [*others, "customer_sk", *dates, "_in", *_win(ctx)]
     summed = items.groupBy(*groups).agg(
         F.count_distinct("order_id_bk").alias("orders"), F.sum("line_total").alias("revenue")
     )
-    all_time = F.sum("orders").over(Window.partitionBy(*others, "customer_sk"))
+    once = F.when(F.col("_win") == ALL_TIME, F.col("orders")) if ctx.windows else F.col("orders")
+    all_time = F.sum(once).over(Window.partitionBy(*others, "customer_sk"))
     summed = summed.withColumn("all_time_orders", all_time).where("_in")
-    for c in [*dates, *_win(ctx)]:
+    for c in dates:
         summed = summed.where(F.col(c).isNotNull())
-    return summed
+    return summed.where(F.col("_win") != ALL_TIME) if ctx.windows else summed
 
 
 _LINKS = {

@@ -67,11 +67,24 @@ def _evaluate(star: Star, names: list[str], ctx: Context) -> DataFrame:
         )
     plan = M.ordered(names)
     frame = _combine(star, _parts(star, plan, ctx), ctx)
-    for n in plan:
-        frame = _derived(star, frame, n, ctx)
+    for level in _levels(plan):
+        frame = frame.withColumns({n: _derived(n, ctx) for n in level})
     return frame.select(*_groups(ctx), *names)
 
 
+def _levels(plan: Sequence[str]) -> list[list[str]]:
+    """Computed measures, grouped so that each level needs only the earlier ones."""
+    depth: dict[str, int] = {}
+    levels: list[list[str]] = []
+    for n in plan:
+        if isinstance(M.MEASURES[n], (M.Calc, M.Trend, M.Rank)):
+            depth[n] = max((depth.get(d, -1) for d in M.dependencies(M.MEASURES[n])), default=-1) + 1
+            if depth[n] == len(levels):
+                levels.append([])
+            levels[depth[n]].append(n)
+    return levels
+
+
 # --- leaves -----------------------------------------------------------------
 
 
@@ -84,7 +97,7 @@ def _parts(star: Star, plan: Sequence[str], ctx: Context) -> list[Part]:
         if isinstance(m, M.Agg):
             shared.setdefault((m.fact, m.key, m.undated), []).append(n)
         elif isinstance(m, M.Period):
-            periods.setdefault((m.grain, tuple(m.roles.items())), []).append(n)
+            periods.setdefault(tuple(m.roles.items()), []).append(n)
         elif isinstance(m, M.Windowed):
             parts.append(_windowed(star, n, m, ctx))
         elif isinstance(m, M.Shift):
@@ -96,12 +109,14 @@ def _parts(star: Star, plan: Sequence[str], ctx: Context) -> list[Part]:
             parts.append(_reduced(star, n, m.base, ctx.without(others).but(windows={})))
         elif isinstance(m, M.Over):
             parts.append(_over(star, n, m, ctx))
+        elif isinstance(m, M.Standing):
+            parts.append(_standing(star, n, m, ctx))
         elif isinstance(m, M.RankChange):
             parts.append(_rank_change(star, n, m, ctx))
     for (fact, key, undated), group in shared.items():
         parts.append(_aggregate(star, fact, key, undated, group, ctx))
-    for (grain, roles), group in periods.items():
-        parts.append(_compared(star, grain, dict(roles), group, ctx))
+    for roles, group in periods.items():
+        parts.append(_compared(star, dict(roles), group, ctx))
     return parts
 
 
@@ -170,26 +185,48 @@ def change(curr: Column, prior: Column) -> Column:
 
 
 def to_date_compare(
-    star: Star, names: Sequence[str], grain: str, ctx: Context | None = None
+    star: Star, wanted: Mapping[str, Sequence[str]], ctx: Context | None = None
 ) -> DataFrame:
-    """`<name>__curr` and `<name>__prior` of every base, one row per group."""
+    """`<name>__<grain>__curr` and `…__prior` of the bases wanted per grain, one row per group.
+
+    The ranges of several grains overlap; a row is then counted in each range
+    it lies in, and all ranges of a fact are read in one pass.
+    """
     ctx = ctx or Context()
-    windows = to_date_windows(_anchor(star, ctx), grain)
-    both = _evaluate(star, list(names), ctx.but(windows=windows, anchor=None))
+    anchor = _anchor(star, ctx)
+    ranges = {g: to_date_windows(anchor, g) for g in wanted}
+    windows = {f"{g}__{w}": r for g, both in ranges.items() for w, r in both.items()}
+    plain = list(dict.fromkeys(n for names in wanted.values() for n in names if not _moves_in_time(n)))
+    frames = []
+    if plain:
+        frames.append(_evaluate(star, plain, ctx.but(windows=windows, anchor=None)))
+    for g, names in wanted.items():
+        moving = [n for n in names if _moves_in_time(n)]
+        if moving:
+            labels = {f"{g}__{w}": r for w, r in ranges[g].items()}
+            frames.append(_evaluate(star, moving, ctx.but(windows=labels, anchor=None)))
+    both = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
     picked = [
-        F.max(F.when(F.col("_win") == w, F.col(n))).alias(f"{n}__{w}") for n in names for w in ("curr", "prior")
+        F.max(F.when(F.col("_win") == f"{g}__{w}", F.col(n))).alias(f"{n}__{g}__{w}")
+        for g, names in wanted.items()
+        for n in names
+        for w in ("curr", "prior")
     ]
     return both.groupBy(*ctx.by).agg(*picked)
 
 
-def _compared(star: Star, grain: str, roles: Mapping[str, str], group: list[str], ctx: Context) -> Part:
+def _compared(star: Star, roles: Mapping[str, str], group: list[str], ctx: Context) -> Part:
     found = {n: M.MEASURES[n] for n in group}
-    bases = list(dict.fromkeys(m.base for m in found.values()))
+    wanted: dict[str, list[str]] = {}
+    for m in found.values():
+        bases = wanted.setdefault(m.grain, [])
+        if m.base not in bases:
+            bases.append(m.base)
     inner = ctx.but(roles={**ctx.roles, **roles}, windows={}, anchor=_anchor(star, ctx))
-    frame = to_date_compare(star, bases, grain, inner)
+    frame = to_date_compare(star, wanted, inner)
     shown = []
     for n, m in found.items():
-        curr, prior = F.col(f"{m.base}__curr"), F.col(f"{m.base}__prior")
+        curr, prior = (F.col(f"{m.base}__{m.grain}__{w}") for w in ("curr", "prior"))
         value = {
             "curr": curr,
             "prior": prior,
@@ -299,25 +336,21 @@ def _combine(star: Star, parts: list[Part], ctx: Context) -> DataFrame:
     return frame
 
 
-def _derived(star: Star, frame: DataFrame, name: str, ctx: Context) -> DataFrame:
+def _derived(name: str, ctx: Context) -> Column:
     m = M.MEASURES[name]
     if isinstance(m, M.Calc):
-        return frame.withColumn(name, m.expr(F.col))
+        return m.expr(F.col)
     if isinstance(m, M.Trend):
-        return frame.withColumn(name, trend_arrow(F.col(m.base), m) if m.kind == "arrow" else trend_color(F.col(m.base), m))
-    if isinstance(m, M.Rank):
-        if m.attribute not in ctx.by:
-            raise ValueError(f"{name} needs the attribute {m.attribute}")
-        others = [c for c in _groups(ctx) if c != m.attribute]
-        # values of a category or state vocabulary
-        window = Window.partitionBy(*others).orderBy(F.col(m.base).desc_nulls_last())
-        return frame.withColumn(name, F.when(F.col(m.base).isNotNull(), F.dense_rank().over(window)))
-    if isinstance(m, M.Standing):
-        return _standing(star, frame, name, m, ctx)
-    return frame
+        return trend_arrow(F.col(m.base), m) if m.kind == "arrow" else trend_color(F.col(m.base), m)
+    if m.attribute not in ctx.by:
+        raise ValueError(f"{name} needs the attribute {m.attribute}")
+    others = [c for c in _groups(ctx) if c != m.attribute]
+    # values of a category or state vocabulary
+    window = Window.partitionBy(*others).orderBy(F.col(m.base).desc_nulls_last())
+    return F.when(F.col(m.base).isNotNull(), F.dense_rank().over(window))
 
 
-def _standing(star: Star, frame: DataFrame, name: str, m: M.Standing, ctx: Context) -> DataFrame:
+def _standing(star: Star, name: str, m: M.Standing, ctx: Context) -> Part:
     if _groups(ctx) != [m.attribute]:
         raise ValueError(f"{name} is defined over {m.attribute} alone")
     base = _evaluate(star, [m.base], ctx).withColumnRenamed(m.base, "_base")
@@ -326,7 +359,7 @@ def _standing(star: Star, frame: DataFrame, name: str, m: M.Standing, ctx: Conte
     else:
         total = _evaluate(star, [m.base], ctx.without([m.attribute])).select(m.base).scalar()
         placed = ranked(base, "_base", running="_sum").withColumn(name, ratio(F.col("_sum"), total))
-    return frame.join(placed.select(m.attribute, name), m.attribute, "left")
+    return _groups(ctx), placed.select(m.attribute, name), [name]
 
 
 def trend_arrow(pct: Column, m: M.Trend) -> Column:
