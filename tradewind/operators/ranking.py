@@ -18,8 +18,9 @@ def top_k(df: DataFrame, measure: str, k: int, tie: Sequence[str]) -> DataFrame:
 
 
 def name_of_largest(name: str, measure: str) -> Column:
-    """Aggregate: name with the largest measure, the smallest name among ties."""
-    return F.min_by(name, F.struct((-F.col(measure)).alias("m"), F.col(name).alias("n")))
+    """Aggregate: name with the largest measure, the smallest name among ties, blank measures aside."""
+    place = F.struct((-F.col(measure)).alias("m"), F.col(name).alias("n"))
+    return F.min_by(name, F.when(F.col(measure).isNotNull(), place))
 
 
 def average_rank(c: str, descending: bool = False) -> Column:
