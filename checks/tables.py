@@ -14,16 +14,16 @@ from tradewind.sources import binding
 from tradewind.sources.writers import write_back
 
 
-def plan(name):
-    """The table as a plan over the given tables, nothing written."""
-    return lambda spark, folder: over_given_tables(spark, folder, written=False)[name]
-
-
 def loaded(spark, folder):
     """The written warehouse."""
     return over_given_tables(spark, folder)
 
 
+def plan(name):
+    """The job of one table over its stored inputs (raw rows for a cleaned table), nothing written."""
+    return lambda spark, folder: loaded(spark, folder).plan(name)
+
+
 # --- cleaned ----------------------------------------------------------------
 
 add(
@@ -151,7 +151,7 @@ add(
 
 def _second_load(spark, folder):
     """Sellers loaded twice: the second source lacks some, changes some and brings new ones."""
-    sellers = over_given_tables(spark, folder, written=False)["sellers"].withColumnRenamed("seller_id", "seller_id_bk")
+    sellers = loaded(spark, folder)["sellers"].withColumnRenamed("seller_id", "seller_id_bk")
     k = F.col("seller_id_bk").cast("long")
     first = upsert_scd1(
         None, sellers.where(k % 4 != 0), "seller_id_bk", "seller_sk", star.SELLER_ATTRS, F.lit("first load")

@@ -32,6 +32,9 @@ def test_loads_stop_at_the_first_failure_and_models_do_not():
     assert ran == ["a"] and [o.ok for o in e.value.done] == [True, False]
     outcomes = jobs.run_jobs(steps, stop_on_failure=False)
     assert [o.ok for o in outcomes] == [True, False, True] and "no" in outcomes[1].error
+    assert [o.ok for o in jobs.run_jobs(steps, stop_on_failure=False, at_once=2)] == [True, False, True]
+    with pytest.raises(jobs.LoadError):
+        jobs.run_jobs(steps, stop_on_failure=True, at_once=2)
 
 
 def test_ordered_runs_over_raw_tables(spark, tmp_path):

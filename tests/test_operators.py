@@ -63,7 +63,7 @@ def test_unknown_member_is_added_once(spark):
     base = spark.createDataFrame([(1, "a", "x")], "sk long, bk string, city string")
     row = {"sk": -1, "bk": "UNKNOWN", "city": "UNKNOWN"}
     once = ensure_member(base, "sk", row)
-    assert sorted(r.sk for r in ensure_member(once, "sk", row).collect()) == [-1, 1]
+    assert sorted(r.sk for r in ensure_member(once, "sk", row, stored=once).collect()) == [-1, 1]
 
 
 def test_lookup_miss_gets_default(spark):
@@ -82,18 +82,22 @@ def test_insert_missing(spark):
 @given(st.lists(st.integers(-5, 40), min_size=1, max_size=60))
 def test_ranked_equals_brute_force(spark, values):
     df = spark.createDataFrame(list(enumerate(values)), "id int, v long")
-    got = {r.id: (r.d, r.r, r.s) for r in ranked(df, "v", dense="d", rank="r", running="s").collect()}
+    got = {r.id: r for r in ranked(df, "v", dense="d", rank="r", above="a", share="s").collect()}
+    total = sum(values)
     for i, v in enumerate(values):
-        dense = len({x for x in values if x > v}) + 1
-        assert got[i] == (dense, sum(x > v for x in values) + 1, sum(x for x in values if x >= v))
+        larger = sum(x > v for x in values)
+        assert (got[i].d, got[i].r) == (len({x for x in values if x > v}) + 1, larger + 1)
+        assert got[i].a == larger / len(values)
+        assert got[i].s == (sum(x for x in values if x >= v) / total if total else None)
 
 
 def test_ranked_with_one_value_holding_most_rows(spark):
     df = spark.range(3000).select("id", F.when(F.col("id") < 2000, 5).otherwise(F.col("id") % 700).cast("long").alias("v"))
     values = [r.v for r in df.collect()]
-    got = {r.id: (r.d, r.s) for r in ranked(df, "v", dense="d", running="s").collect()}
+    got = {r.id: (r.d, r.s) for r in ranked(df, "v", dense="d", share="s").collect()}
     for i in (0, 1999, 2500, 2999):
-        assert got[i] == (len({x for x in values if x > values[i]}) + 1, sum(x for x in values if x >= values[i]))
+        down_to = sum(x for x in values if x >= values[i])
+        assert got[i] == (len({x for x in values if x > values[i]}) + 1, down_to / sum(values))
 
 
 def test_top_k_and_argmax_break_ties_by_name(spark):

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tradewind.functions.numbers import ratio
 from tradewind.session import staged
 
 RANGES = 256
@@ -29,18 +30,16 @@ def average_rank(c: str, descending: bool = False) -> Column:
     return F.rank().over(Window.orderBy(order)) + (F.count("*").over(Window.partitionBy(c)) - 1) / 2
 
 
-def ranked(
-    df: DataFrame,
-    measure: str,
-    dense: str | None = None,
-    rank: str | None = None,
-    running: str | None = None,
-) -> DataFrame:
-    """Dense rank, rank and running total by falling measure over all rows, whatever their number.
+def ranked(df: DataFrame, measure: str, **names: str) -> DataFrame:
+    """Standing of every row by falling measure, whatever the number of rows.
+
+    Asked for by keyword, each naming its output column: `dense` and `rank`
+    (positions), `above` (share of rows with a larger measure) and `share`
+    (measure summed down to this row's value over the whole sum).
 
     Equal measures are first combined.  The distinct values are cut into ranges,
-    ranks and sums are formed inside each range, and the totals of the earlier
-    ranges (256 rows) are added.  Rows with a NULL measure are left out.
+    positions and sums are formed inside each range, and the totals of the
+    earlier ranges (256 rows) are added.  Rows with a NULL measure are left out.
     """
     df = staged(df.where(F.col(measure).isNotNull()))
     number = F.col(measure).cast("double")
@@ -55,19 +54,23 @@ def ranked(
     totals = values.groupBy("_range").agg(
         F.count("*").alias("_d"), F.sum("_n").alias("_r"), F.sum(amount).alias("_s")
     )
-    # one row per range, so this window and the broadcast stay small
+    # one row per range, so these windows and the broadcast stay small
     earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    everything = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     offsets = totals.select(
-        "_range", *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"{c}0") for c in ("_d", "_r", "_s")]
+        "_range",
+        *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"{c}0") for c in ("_d", "_r", "_s")],
+        *[F.sum(c).over(everything).alias(f"{c}_all") for c in ("_r", "_s")],
     )
     inside = Window.partitionBy("_range").orderBy(F.col(measure).desc())
     upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    wanted = {
-        dense: F.col("_d0") + F.row_number().over(inside),
-        rank: F.col("_r0") + F.sum("_n").over(upto) - F.col("_n") + 1,
-        running: F.col("_s0") + F.sum(amount).over(upto),
+    larger = F.col("_r0") + F.sum("_n").over(upto) - F.col("_n")
+    figures = {
+        "dense": F.col("_d0") + F.row_number().over(inside),
+        "rank": larger + 1,
+        "above": larger / F.col("_r_all"),
+        "share": ratio(F.col("_s0") + F.sum(amount).over(upto), F.col("_s_all")),
     }
-    placed = values.join(F.broadcast(offsets), "_range").select(
-        measure, *[c.alias(name) for name, c in wanted.items() if name]
-    )
-    return df.join(placed, measure).select(*df.columns, *[n for n in wanted if n])
+    placed = values.join(F.broadcast(offsets), "_range")
+    placed = placed.select(measure, *[figures[f].alias(name) for f, name in names.items()])
+    return df.join(placed, measure).select(*df.columns, *names.values())

@@ -38,12 +38,12 @@ def assign_keys(df: DataFrame, bk: str, sk: str, base: Column | int = 0) -> Data
     )
 
 
-def ensure_member(dim: DataFrame, sk: str, row: dict) -> DataFrame:
-    """Add the stated row unless its key is already present."""
+def ensure_member(dim: DataFrame, sk: str, row: dict, stored: DataFrame | None = None) -> DataFrame:
+    """Add the stated row unless the table stored before this load holds its key."""
+    if stored is not None and not stored.where(F.col(sk) == row[sk]).isEmpty():
+        return dim
     literals = [F.lit(row[f.name]).cast(f.dataType).alias(f.name) for f in dim.schema.fields if f.name in row]
-    one = dim.sparkSession.range(1).select(*literals)
-    missing = one.join(dim.where(F.col(sk) == row[sk]).select(sk), sk, "left_anti")
-    return dim.unionByName(missing, allowMissingColumns=True)
+    return dim.unionByName(dim.sparkSession.range(1).select(*literals), allowMissingColumns=True)
 
 
 def upsert_scd1(

@@ -353,12 +353,8 @@ def _derived(name: str, ctx: Context) -> Column:
 def _standing(star: Star, name: str, m: M.Standing, ctx: Context) -> Part:
     if _groups(ctx) != [m.attribute]:
         raise ValueError(f"{name} is defined over {m.attribute} alone")
-    base = _evaluate(star, [m.base], ctx).withColumnRenamed(m.base, "_base")
-    if m.part == "rank":
-        placed = ranked(base, "_base", dense=name)
-    else:
-        total = _evaluate(star, [m.base], ctx.without([m.attribute])).select(m.base).scalar()
-        placed = ranked(base, "_base", running="_sum").withColumn(name, ratio(F.col("_sum"), total))
+    base = _evaluate(star, [m.base], ctx)
+    placed = ranked(base, m.base, **{m.part: name})
     return _groups(ctx), placed.select(m.attribute, name), [name]
 
 

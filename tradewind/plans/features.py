@@ -57,9 +57,8 @@ LTV_SHARES = [(0.1, "Platinum"), (0.3, "Gold"), (0.6, "Silver")]
 
 def ltv_tiers(customers: DataFrame, measure: str = "monetary_total") -> DataFrame:
     """Tier by the share of customers who spent more; equal spenders share a tier."""
-    placed = ranked(customers, measure, rank="_rank")
-    total = customers.where(F.col(measure).isNotNull()).agg(F.count("*")).scalar()
-    above = (F.col("_rank") - 1) / total
+    placed = ranked(customers, measure, above="_above")
+    above = F.col("_above")
     label = None
     for share, name in LTV_SHARES:
         label = F.when(above < share, name) if label is None else label.when(above < share, name)

@@ -281,7 +281,7 @@ _ratio("Customer Density %", "total_customers", "customers_of_all_states")
 _ratio("Top Category Share", "top_category_revenue", "revenue_of_all_products")
 define("State Revenue Rank", Rank("total_revenue", "customer_state"))
 define("Category Rank", Rank("total_revenue", "product_category_name"))
-define("Seller Rank", Standing("total_revenue", "seller_sk", "rank"))
+define("Seller Rank", Standing("total_revenue", "seller_sk", "dense"))
 define("Cumulative Seller Revenue %", Standing("total_revenue", "seller_sk", "share"))
 define("Seller Revenue", Without("total_revenue", ("seller_state", "seller_city")))
 define("Seller Order Count", Without("total_orders", ("seller_state", "seller_city")))

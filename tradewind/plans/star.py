@@ -72,19 +72,19 @@ def dim_customer(customers: DataFrame, target: DataFrame | None = None, now: Col
     )
     people = latest_per_key(people, ["customer_unique_id_bk"], ["_processed_at", "_ingested_at"])
     dim = upsert_scd1(target, people, "customer_unique_id_bk", "customer_sk", CUSTOMER_ATTRS, _now(now))
-    return ensure_member(dim, "customer_sk", UNKNOWN_CUSTOMER)
+    return ensure_member(dim, "customer_sk", UNKNOWN_CUSTOMER, target)
 
 
 def dim_product(products: DataFrame, target: DataFrame | None = None, now: Column | None = None) -> DataFrame:
     source = products.withColumnRenamed("product_id", "product_id_bk")
     dim = upsert_scd1(target, source, "product_id_bk", "product_sk", PRODUCT_ATTRS, _now(now))
-    return ensure_member(dim, "product_sk", UNKNOWN_PRODUCT)
+    return ensure_member(dim, "product_sk", UNKNOWN_PRODUCT, target)
 
 
 def dim_seller(sellers: DataFrame, target: DataFrame | None = None, now: Column | None = None) -> DataFrame:
     source = sellers.withColumnRenamed("seller_id", "seller_id_bk")
     dim = upsert_scd1(target, source, "seller_id_bk", "seller_sk", SELLER_ATTRS, _now(now))
-    return ensure_member(dim, "seller_sk", UNKNOWN_SELLER)
+    return ensure_member(dim, "seller_sk", UNKNOWN_SELLER, target)
 
 
 def dim_marketing_channel(

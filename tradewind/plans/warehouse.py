@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,6 +30,17 @@ FACTS = [
 ]
 
 
+# rows are laid out by day in the written tables, so a range of days reads few files;
+# the second column splits a day that holds very many rows
+LAYOUT = {
+    "fact_order_items": ("purchase_date_key", "order_id_bk"),
+    "fact_payments": ("purchase_date_key", "order_id_bk"),
+    "fact_reviews": ("review_answer_date_key", "order_id_bk"),
+    "fact_order_life_cycle": ("purchase_date_key", "order_id_bk"),
+    "order_table": ("purchase_date", "order_id"),
+}
+
+
 class Warehouse(Mapping):
     """Tables by name; a table is built with what it depends on when first asked for.
 
@@ -78,46 +90,54 @@ class Warehouse(Mapping):
             ),
             "order_table": lambda: order_table.build_order_table(self, with_scores=False),
         }
+        # loads may run side by side; a table two of them need is built once
+        self._locks = {name: threading.RLock() for name in self._jobs}
 
     def _cleaning_job(self, name: str) -> Callable[[], DataFrame]:
         job, inputs = cleaning.JOBS[name]
         return lambda: job(*[self.raw[i]() for i in inputs])
 
     def __getitem__(self, name: str) -> DataFrame:
-        if name not in self._ready:
-            frame = self._jobs[name]()
-            if self.root is not None:
-                path = f"{self.root}/{name}"
-                self.reports[name] = replace_table(frame, path)
-                frame = self.spark.read.parquet(path)
-            self._ready[name] = frame
+        if name not in self._jobs:
+            raise KeyError(name)
+        with self._locks[name]:
+            if name not in self._ready:
+                self._ready[name] = self._built(name)
         return self._ready[name]
 
+    def _built(self, name: str) -> DataFrame:
+        frame = self._jobs[name]()
+        if self.root is None:
+            return frame
+        if name in LAYOUT:
+            frame = frame.repartitionByRange(*LAYOUT[name]).sortWithinPartitions(LAYOUT[name][0])
+        path = f"{self.root}/{name}"
+        self.reports[name] = replace_table(frame, path)
+        return self.spark.read.parquet(path)
+
     def __iter__(self):
         return iter(self._jobs)
 
     def __len__(self) -> int:
         return len(self._jobs)
 
-    def lazy(self) -> "Warehouse":
-        """The same tables as plans over the raw data."""
-        return Warehouse(self.spark, self.raw)
+    def plan(self, name: str) -> DataFrame:
+        """The job of one table over its stored inputs, not written."""
+        return self._jobs[name]()
 
 
-def over_given_tables(spark: SparkSession, folder: str, written: bool = True) -> Warehouse:
+def over_given_tables(spark: SparkSession, folder: str) -> Warehouse:
     """Warehouse over the given tables.
 
-    The written form is shared by all queries of one application, as reports
-    share a loaded warehouse; it lives in the cluster's shared folder.
+    It is shared by all queries of one application, as reports share a loaded
+    warehouse, and lives in the cluster's shared folder.
     """
     from tradewind.sources import binding
 
-    raw = {name: (lambda read=read: read(spark, folder)) for name, read in binding.RAW.items()}
-    if not written:
-        return Warehouse(spark, raw)
     app = spark.sparkContext.applicationId
     key = (app, folder.rstrip("/"))
     if key not in _LOADED:
+        raw = {name: (lambda read=read: read(spark, folder)) for name, read in binding.RAW.items()}
         tag = folder.strip("/").replace("/", "_")
         _LOADED[key] = Warehouse(spark, raw, f"{shared_folder(spark)}/tradewind/{app}/{tag}")
     return _LOADED[key]
