@@ -31,10 +31,10 @@ FACTS = [
 
 
 # rows are laid out by day in the written tables, so a range of days reads few files;
-# the second column splits a day that holds very many rows
+# the key columns after it split a day, or an order, that holds very many rows
 LAYOUT = {
-    "fact_order_items": ("purchase_date_key", "order_id_bk"),
-    "fact_payments": ("purchase_date_key", "order_id_bk"),
+    "fact_order_items": ("purchase_date_key", "order_id_bk", "order_item_id_bk"),
+    "fact_payments": ("purchase_date_key", "order_id_bk", "payment_sequential_bk"),
     "fact_reviews": ("review_answer_date_key", "order_id_bk"),
     "fact_order_life_cycle": ("purchase_date_key", "order_id_bk"),
     "order_table": ("purchase_date", "order_id"),
