@@ -1,8 +1,9 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tradewind.operators.ranking import average_rank  # noqa: F401
-from tradewind.plans import dashboards, features, jobs, models, quality
+from tradewind.__main__ import run
+from tradewind.operators.lookup import lookup_sk
+from tradewind.plans import cleaning, dashboards, features, jobs, models, quality
 from tradewind.plans.warehouse import DIMENSIONS, FACTS, Warehouse, over_given_tables
 from tradewind.sources import binding
 
@@ -41,11 +42,42 @@ def test_ordered_runs_over_raw_tables(spark, tmp_path):
     sources = {n: (lambda read=read: read(spark, FOLDER)) for n, read in binding.RAW.items()}
     outcomes = jobs.ingest_all(spark, sources, str(tmp_path / "raw"))
     assert all(o.ok and o.rows for o in outcomes) and len(outcomes) == 10
-    raw = {n: (lambda n=n: spark.read.parquet(str(tmp_path / "raw" / n))) for n in sources}
-    w = Warehouse(spark, raw, str(tmp_path / "wh"))
-    assert [o.job for o in jobs.clean_all(w)][0] == "customers"
-    loaded = jobs.load_star(w)
-    assert {o.job for o in loaded} == set(DIMENSIONS + FACTS) and all(o.rows for o in loaded)
+    steps = run(spark, str(tmp_path / "raw"), str(tmp_path / "wh"))
+    assert {o.job for o in steps} == set(cleaning.JOBS) | set(DIMENSIONS + FACTS) and all(o.rows for o in steps)
+
+
+def test_a_second_load_keeps_keys_and_vanished_members(spark, tmp_path):
+    raw = {n: (lambda read=read: read(spark, FOLDER)) for n, read in binding.RAW.items()}
+    root = str(tmp_path / "wh")
+    first = Warehouse(spark, {**raw, "sellers": lambda: binding.sellers(spark, FOLDER).where("seller_id < 6")}, root)
+    before = {r.seller_id_bk: r.seller_sk for r in first["dim_seller"].collect()}
+    assert len(before) == 7
+    second = Warehouse(spark, {**raw, "sellers": lambda: binding.sellers(spark, FOLDER).where("seller_id > 2")}, root)
+    after = {r.seller_id_bk: r.seller_sk for r in second["dim_seller"].collect()}
+    assert {k: after[k] for k in before} == before
+    assert len(after) == 11 and sorted(after.values()) == [-1, *range(1, 11)]
+
+
+def test_a_hot_key_is_split_in_a_lookup(spark):
+    keys = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20000",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20000",
+    }
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        code = F.when(F.col("id") % 3 != 0, F.lit("hot")).otherwise(F.concat(F.lit("k"), F.col("id") % 500))
+        fact = spark.range(0, 120_000, 1, 8).select(code.alias("code"), F.uuid().alias("pad"))
+        members = spark.range(500).select(F.concat(F.lit("k"), F.col("id")).alias("bk"), F.col("id").alias("sk"))
+        members = members.unionByName(spark.sql("SELECT 'hot' AS bk, 1000L AS sk"))
+        out = lookup_sk(fact, members, "code", "bk", "sk", -1)
+        rows = out.groupBy("sk").agg(F.count("*").alias("n"), F.max("pad")).collect()
+        assert {r.sk: r.n for r in rows}[1000] == 80_000 and sum(r.n for r in rows) == 120_000
+    finally:
+        for k in keys:
+            spark.conf.unset(k)
 
 
 def test_star_is_sound(warehouse):

@@ -5,10 +5,11 @@ from __future__ import annotations
 import threading
 from collections.abc import Callable, Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from tradewind.plans import calendar, cleaning, order_table, star
-from tradewind.session import configure, shared_folder
+from tradewind.session import configure, shared_folder, staged
 from tradewind.sources.writers import LoadReport, replace_table
 
 DIMENSIONS = [
@@ -41,11 +42,16 @@ LAYOUT = {
 }
 
 
+# dimensions whose keys and vanished members outlive a load
+UPSERTED = {"dim_customer", "dim_product", "dim_seller", "dim_marketing_channel"}
+
+
 class Warehouse(Mapping):
     """Tables by name; a table is built with what it depends on when first asked for.
 
-    `raw` maps a raw table name to a function giving its frame.  Without a root
-    folder nothing is written and every table stays a lazy plan.
+    `raw` maps a raw table name to a function giving its frame.  A load into a
+    root folder that holds an earlier one upserts the dimensions and replaces
+    the rest.  Without a root nothing is written and every table stays a plan.
     """
 
     def __init__(self, spark: SparkSession, raw: Mapping[str, Callable[[], DataFrame]], root: str | None = None):
@@ -57,11 +63,11 @@ class Warehouse(Mapping):
         self._jobs: dict[str, Callable[[], DataFrame]] = {
             **{name: self._cleaning_job(name) for name in cleaning.JOBS},
             "dim_date": lambda: calendar.spine_for(self["orders"]),
-            "dim_customer": lambda: star.dim_customer(self["customers"]),
-            "dim_product": lambda: star.dim_product(self["products"]),
-            "dim_seller": lambda: star.dim_seller(self["sellers"]),
-            "dim_marketing_channel": lambda: star.dim_marketing_channel(
-                self["marketing_qualified_leads"], self["closed_deals"]
+            "dim_customer": lambda old=None: star.dim_customer(self["customers"], old),
+            "dim_product": lambda old=None: star.dim_product(self["products"], old),
+            "dim_seller": lambda old=None: star.dim_seller(self["sellers"], old),
+            "dim_marketing_channel": lambda old=None: star.dim_marketing_channel(
+                self["marketing_qualified_leads"], self["closed_deals"], old
             ),
             "dim_payment_type": lambda: star.dim_payment_type(self.spark),
             "dim_order_status": lambda: star.dim_order_status(self.spark),
@@ -106,15 +112,22 @@ class Warehouse(Mapping):
         return self._ready[name]
 
     def _built(self, name: str) -> DataFrame:
-        frame = self._jobs[name]()
         if self.root is None:
-            return frame
+            return self._jobs[name]()
+        path = f"{self.root}/{name}"
+        frame = self._jobs[name](self._stored(path)) if name in UPSERTED else self._jobs[name]()
         if name in LAYOUT:
             frame = frame.repartitionByRange(*LAYOUT[name]).sortWithinPartitions(LAYOUT[name][0])
-        path = f"{self.root}/{name}"
         self.reports[name] = replace_table(frame, path)
         return self.spark.read.parquet(path)
 
+    def _stored(self, path: str) -> DataFrame | None:
+        """The dimension of the last load, copied aside because its place is about to be replaced."""
+        try:
+            return staged(self.spark.read.parquet(path))
+        except AnalysisException:
+            return None
+
     def __iter__(self):
         return iter(self._jobs)
 
@@ -122,7 +135,7 @@ class Warehouse(Mapping):
         return len(self._jobs)
 
     def plan(self, name: str) -> DataFrame:
-        """The job of one table over its stored inputs, not written."""
+        """The job of one table over its stored inputs as a first load, not written."""
         return self._jobs[name]()
 
 
