@@ -416,6 +416,15 @@ add(
              FROM f_funnel GROUP BY 1) b ON coalesce(a.sdr_id_bk, '?') = b.k""",
 )
 
+add(
+    "channel_measures",
+    "sdr_id_bk:s active_channels:i leads:i has_company_pct:r",
+    figures("active_channels leads has_company_pct", by=["sdr_id_bk"], where={"lead_type": ["Online Big", "Industry", "Offline"]}),
+    """SELECT sdr_id_bk, count(DISTINCT origin) AS active_channels, count(*) AS leads,
+              nullif(count(*) FILTER (has_company = 1), 0) / count(*) AS has_company_pct
+       FROM f_funnel JOIN dim_channel USING (mql_channel_sk) WHERE lead_type IN ('Online Big', 'Industry', 'Offline') GROUP BY 1""",
+)
+
 # --- time -------------------------------------------------------------------
 
 ANCHOR = "SELECT max(day) AS a FROM f_items"
@@ -492,8 +501,9 @@ WY = """
 """
 WF = """
     SELECT grain, w, count(*) AS total_mqls, count(*) AS total_deals, 1.0 AS mql_conversion_rate,
-           avg(days_to_close) AS avg_days_to_close, sum(declared_monthly_revenue)::DOUBLE / count(*) AS avg_declared_monthly_revenue
-    FROM f_funnel JOIN win ON day BETWEEN lo AND hi GROUP BY 1, 2
+           avg(days_to_close) AS avg_days_to_close, sum(declared_monthly_revenue)::DOUBLE / count(*) AS avg_declared_monthly_revenue,
+           count(DISTINCT origin) AS active_channels
+    FROM f_funnel LEFT JOIN dim_channel USING (mql_channel_sk) JOIN win ON day BETWEEN lo AND hi GROUP BY 1, 2
 """
 # figures with a date range of their own, counted back from the end of each window
 WE = """
@@ -515,7 +525,7 @@ ALL_BASES = """
            delivered_orders::DOUBLE / wi.total_orders AS fulfillment_rate,
            cancelled_orders::DOUBLE / wi.total_orders AS cancellation_rate,
            (SELECT count(DISTINCT customer_state) FROM dim_customer) AS states_active,
-           (SELECT count(DISTINCT origin) FROM dim_channel) AS active_channels, (SELECT revenue_cagr FROM cagr) AS revenue_cagr,
+           (SELECT revenue_cagr FROM cagr) AS revenue_cagr,
            CASE WHEN pm = 0 THEN 0 WHEN pm IS NOT NULL THEN coalesce(mtd, 0) END AS base_forecast,
            (coalesce(wi.total_revenue, 0) - py)::DOUBLE / py::DOUBLE AS category_growth_rate_yoy,
            (coalesce(approval_delivery_days, 0) > 15)::INT + (coalesce(avg_review_score, 0) < 3.8)::INT

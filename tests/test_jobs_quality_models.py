@@ -58,7 +58,7 @@ def test_a_second_load_keeps_keys_and_vanished_members(spark, tmp_path):
     assert len(after) == 11 and sorted(after.values()) == [-1, *range(1, 11)]
 
 
-def test_a_hot_key_is_split_in_a_lookup(spark):
+def test_a_hot_key_is_split_in_a_lookup(spark, capsys):
     keys = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
@@ -73,7 +73,10 @@ def test_a_hot_key_is_split_in_a_lookup(spark):
         members = spark.range(500).select(F.concat(F.lit("k"), F.col("id")).alias("bk"), F.col("id").alias("sk"))
         members = members.unionByName(spark.sql("SELECT 'hot' AS bk, 1000L AS sk"))
         out = lookup_sk(fact, members, "code", "bk", "sk", -1)
-        rows = out.groupBy("sk").agg(F.count("*").alias("n"), F.max("pad")).collect()
+        counts = out.groupBy("sk").agg(F.count("*").alias("n"), F.max("pad"))
+        rows = counts.collect()
+        counts.explain()
+        assert "SortMergeJoin(skew=true)" in capsys.readouterr().out
         assert {r.sk: r.n for r in rows}[1000] == 80_000 and sum(r.n for r in rows) == 120_000
     finally:
         for k in keys:

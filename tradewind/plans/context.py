@@ -98,7 +98,7 @@ FACTS = {
 LINKED = {
     "customers": ("customer",),
     "products": ("product",),
-    "channels": ("channel",),
+    "channels": ("date", "seller", "channel"),
     "days": (),
     "buyers": ("date", "customer", "product", "seller"),
     "reviewed_items": ("date", "customer", "product", "seller"),
@@ -326,10 +326,22 @@ def _buyers(star: Star, attributes: Sequence[str], ctx: Context) -> DataFrame:
     return summed.where(F.col("_win") != ALL_TIME) if ctx.windows else summed
 
 
+def _channels(star: Star, attributes: Sequence[str], ctx: Context) -> DataFrame:
+    """Leads; what restricts the deals (days, sellers, staff) restricts them to the leads of those deals."""
+    wanted = list(dict.fromkeys([*attributes, *ctx.where]))
+    through = [a for a in wanted if a == "sdr_id_bk" or ATTRIBUTES[a] != "channel"]
+    through = reachable("funnel", through)
+    leads = _dimension("dim_marketing_channel", "channels")(star, attributes, ctx)
+    if not through and not ctx.windows:
+        return leads
+    deals = rows(star, "funnel", through, ctx.but(where={a: v for a, v in ctx.where.items() if a in through}))
+    return deals.select("mql_channel_sk", *through, *_win(ctx)).join(leads, "mql_channel_sk")
+
+
 _LINKS = {
     "customers": _dimension("dim_customer", "customers"),
     "products": _dimension("dim_product", "products"),
-    "channels": _dimension("dim_marketing_channel", "channels"),
+    "channels": _channels,
     "days": lambda star, attributes, ctx: star.days,
     "buyers": _buyers,
     "reviewed_items": _reviewed_items,

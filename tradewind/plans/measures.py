@@ -312,9 +312,9 @@ _agg("Avg Photos per Product", "products", _avg("product_photos_qty"), undated=T
 _agg("Avg Description Length", "products", _avg("product_description_length"), undated=True)
 _agg("Product Category Count", "products", lambda: F.count_distinct("product_category_name"), undated=True)
 _agg("States Active", "customers", lambda: F.count_distinct("customer_state"), undated=True)
-_agg("Active Channels", "channels", lambda: F.count_distinct("origin"), undated=True)
-_agg("Leads", "channels", _count, undated=True)
-_agg("Leads With Company", "channels", lambda: count_of(F.col("has_company") == 1), undated=True)
+_agg("Active Channels", "channels", lambda: F.count_distinct("origin"))
+_agg("Leads", "channels", _count)
+_agg("Leads With Company", "channels", lambda: count_of(F.col("has_company") == 1))
 _ratio("Has Company %", "leads_with_company", "leads")
 _agg("Holiday Days", "days", lambda: count_of("is_holiday"), undated=True)
 _agg("Non-Holiday Days", "days", lambda: count_of(~F.col("is_holiday")), undated=True)
