@@ -14,15 +14,16 @@ from checks.base_sql import sql
 _SPARK: dict[str, Callable[[Column], Column]] = {
     "s": lambda c: c.cast("string"),
     "i": lambda c: c.cast("long"),
-    "n": lambda c: c.cast("double"),
-    "r": lambda c: F.round(c.cast("double"), 6),
+    # + 0.0 turns a negative zero into zero
+    "n": lambda c: c.cast("double") + F.lit(0.0),
+    "r": lambda c: F.round(c.cast("double"), 6) + F.lit(0.0),
     "b": lambda c: c.cast("boolean"),
 }
 _SQL = {
     "s": "{0}::VARCHAR",
     "i": "{0}::BIGINT",
-    "n": "{0}::DOUBLE",
-    "r": "round({0}::DOUBLE, 6)",
+    "n": "{0}::DOUBLE + 0.0::DOUBLE",
+    "r": "round({0}::DOUBLE, 6) + 0.0::DOUBLE",
     "b": "{0}::BOOLEAN",
 }
 

@@ -109,6 +109,15 @@ def test_catalog_profile(spark, warehouse):
     assert rows["seller_sk"] == ("bigint", 11)
 
 
+def test_profile_of_a_catalog_database(spark, warehouse, tmp_path):
+    warehouse["dim_order_status"].write.option("path", str(tmp_path / "t")).saveAsTable("status_probe")
+    try:
+        rows = [r for r in quality.catalog_profile(spark, "default").collect() if r.table_name == "status_probe"]
+        assert [(r.column_name, r.row_count) for r in rows] == [("order_status_sk", 8), ("order_status", 8)]
+    finally:
+        spark.sql("DROP TABLE status_probe")
+
+
 def test_segments_rank_clusters(spark):
     means = spark.createDataFrame(
         [(0, 10.0, 5.0, 900.0), (1, 50.0, 3.0, 500.0), (2, 90.0, 2.0, 300.0), (3, 200.0, 1.0, 100.0)],
