@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Sequence
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+import tradewind
+
 SPACES = " \t\n\x0b\f\r"
 SPACE_RUN = r"[\x20\x09-\x0D]+"
 PARTS = 10  # bits of the spread hash that cut a key into 1024 parts
@@ -16,6 +21,21 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
+def python_workers(spark: SparkSession) -> None:
+    """Prepare Python stages: workers get the package, and rows in small batches, so that long texts fit."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
+    context = spark.sparkContext
+    if getattr(context, "_tradewind_sent", False):
+        return
+    package = Path(tradewind.__file__).parent
+    archive = Path(tempfile.mkdtemp(prefix="tradewind-code-")) / "tradewind-code.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in package.rglob("*.py"):
+            z.write(f, f.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    context._tradewind_sent = True
+
+
 def whole(text: Column) -> Column:
     return F.coalesce(text, F.lit(""))
 
