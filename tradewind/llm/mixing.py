@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from tradewind.llm.common import documents, hash_part, prefix_sums, word_count
 from tradewind.session import staged
 
-FILLINGS = 4
-SMALL = 2  # fillings after the first take rows of at most half of what is open
+# the fraction is filled in steps; a document may be taken once beyond its whole repetitions in the
+# first four, and further times, if the small documents of the source do not suffice, in the last
+FILLINGS = (1, 1, 1, 1, 2, 2, 3, 3)
+SMALL = 2  # steps after the first take rows of at most half of what is open
 
 
 def in_order(names: DataFrame, column: str, number: str) -> DataFrame:
@@ -57,9 +59,10 @@ def mix(docs: DataFrame, size: Column | None = None, weights: Sequence[int] = (5
     Sources by code point, null last, get the weights in turn. Every document of
     a source is taken floor(target / source_size) times; the fraction is a seeded
     sample: documents in the order of a hash of seed, doc_id and text, as far as
-    they fit, then, three times, documents of at most half of what stays open. The
-    decision is a comparison of the row's hash with two cuts of its source, so
-    texts are never shuffled.
+    they fit, then, several times, documents of at most half of what stays open,
+    the last times also documents that were taken already. The decision is a
+    comparison of the row's hash and size with cuts of its source, so texts are
+    never shuffled. No document is taken more than max_epochs times.
 
     Null doc_id, text or source are values like others (null text: size 0).
     Rows with the same doc_id and text are taken alike. A source without words
@@ -80,28 +83,44 @@ def mix(docs: DataFrame, size: Column | None = None, weights: Sequence[int] = (5
     filled = filled.withColumn("_want", F.round(F.col("target") - F.col("whole") * F.col("source_size")).cast("long"))
     filled = staged(filled)
 
-    keyed = staged(light.join(filled.select(F.col("_s").alias("_k"), "_sid", "_want"), F.col("_s").eqNullSafe(F.col("_k"))).select("_sid", "_want", "size", "_spread"))
+    keys = filled.select(F.col("_s").alias("_k"), "_sid", "_want", F.col("whole").alias("_whole"))
+    open_rows = light.join(keys, F.col("_s").eqNullSafe(F.col("_k"))).select("_sid", "_want", "_whole", "size", "_spread", F.lit(0).alias("_t"))
+    open_rows = staged(open_rows)
 
     # each filling leaves a cut of the hash and a bound of the size per source
-    plan = filled.select(F.col("_s").alias("_k"), "_sid", "source_size", "target", "whole")
-    open_rows, once = keyed, F.lit(False)
-    for i in range(FILLINGS):
-        fits = open_rows.where(F.col("size") <= F.col("_want") / SMALL) if i else open_rows
-        upto = prefix_sums(staged(fits), ["_sid"], hash_part("_spread"), ["_spread"], {"_upto": "size"}, peers=True)
+    plan = filled.select(F.col("_s").alias("_k"), "source_size", "target", F.col("whole").alias("_whole"), "_sid")
+    for i, limit in enumerate(FILLINGS):
+        fits = open_rows.where(_may_take(limit, max_epochs))
+        fits = staged(fits.where(F.col("size") <= F.col("_want") / SMALL) if i else fits)
+        upto = prefix_sums(fits, ["_sid"], hash_part("_spread"), ["_spread"], {"_upto": "size"}, peers=True)
         upto = upto.where(F.col("_upto") <= F.col("_want")).groupBy("_sid")
-        cut = upto.agg(F.max("_spread").alias("cut"), F.max("_upto").alias("got"), (F.first("_want") / SMALL if i else F.max(F.lit(2.0**62))).alias("bound"))
+        bound = F.first("_want") / SMALL if i else F.max(F.lit(2.0**62))
+        cut = upto.agg(F.max("_spread").alias(f"_cut{i}"), F.max("_upto").alias("_got"), bound.alias(f"_bound{i}"))
         cut = staged(cut)
-        taken = F.coalesce((F.col("_spread") <= F.col("cut")) & (F.col("size") <= F.col("bound")), F.lit(False))
-        open_rows = open_rows.join(cut, "_sid", "left").where(~taken)
-        open_rows = open_rows.select("_sid", (F.col("_want") - F.coalesce("got", F.lit(0))).alias("_want"), "size", "_spread")
-        plan = plan.join(cut.select("_sid", F.col("cut").alias(f"_cut{i}"), F.col("bound").alias(f"_bound{i}")), "_sid", "left")
-        once = once | F.coalesce((F.col("_spread") <= F.col(f"_cut{i}")) & (F.col("size") <= F.col(f"_bound{i}")), F.lit(False))
-    plan = staged(plan)
-    times = F.when(F.col("source_size") > 0, F.col("whole") + once.cast("long")).otherwise(0)
-    out = rows.join(plan, F.col("source").eqNullSafe(F.col("_k"))).withColumn("times", times)
+        plan = plan.join(cut.drop("_got"), "_sid", "left")
+        left = F.col("_want") - F.coalesce("_got", F.lit(0))
+        open_rows = open_rows.join(cut, "_sid", "left").withColumn("_t", F.col("_t") + _taken(i, limit, max_epochs))
+        open_rows = staged(open_rows.select("_sid", left.alias("_want"), "_whole", "size", "_spread", "_t"))
+    plan = staged(plan.drop("_sid"))
+
+    out = rows.join(plan, F.col("source").eqNullSafe(F.col("_k"))).withColumn("_t", F.lit(0))
+    for i, limit in enumerate(FILLINGS):
+        out = out.withColumn("_t", F.col("_t") + _taken(i, limit, max_epochs))
+    times = F.when(F.col("source_size") > 0, F.col("_whole") + F.col("_t")).otherwise(0).cast("long")
+    out = out.withColumn("times", times)
     return out.select(*kept, "size", "source_size", "target", "times", (F.col("size") * F.col("times")).alias("taken"))
 
 
+def _may_take(limit: int, max_epochs: int) -> Column:
+    return (F.col("_t") < limit) & (F.col("_whole") + F.col("_t") < max_epochs)
+
+
+def _taken(i: int, limit: int, max_epochs: int) -> Column:
+    """1 if filling i takes the row once more."""
+    inside = (F.col("_spread") <= F.col(f"_cut{i}")) & (F.col("size") <= F.col(f"_bound{i}"))
+    return F.coalesce(inside & _may_take(limit, max_epochs), F.lit(False)).cast("int")
+
+
 def repeat(mixed: DataFrame, columns: Sequence[str]) -> DataFrame:
     """The mix itself: every row as many times as it is taken."""
     copies = F.sequence(F.lit(1), F.col("times").cast("int"))
