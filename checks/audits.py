@@ -42,7 +42,8 @@ add(
     "table_name:s row_count:i",
     lambda s, f: quality.table_counts(_raw_frames(s, f), list(_raw_frames(s, f))),
     _union(f"SELECT '{n}' AS table_name, count(*) AS row_count FROM {r}" for n, r, _ in _PAIRS)
-    + " UNION ALL SELECT 'product_category_name_translation', count(*) FROM part WHERE p_name NOT LIKE 'blue%'",
+    + " UNION ALL SELECT 'product_category_name_translation', count(*) FROM part WHERE p_name NOT LIKE 'blue%'"
+    + " UNION ALL SELECT 'geolocation', count(*) FROM raw_places",
 )
 add(
     "table_counts",

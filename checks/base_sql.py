@@ -43,6 +43,11 @@ BLOCKS["raw_sellers"] = """
            CASE WHEN s_suppkey % 13 <> 7 THEN state END AS seller_state
     FROM supplier JOIN geo ON s_nationkey = n_nationkey
 """
+BLOCKS["raw_places"] = """
+    SELECT DISTINCT z, c, s FROM (
+      SELECT customer_zip_code_prefix AS z, customer_city AS c, trim(customer_state) AS s FROM raw_customers
+      UNION ALL SELECT seller_zip_code_prefix, seller_city, seller_state FROM raw_sellers) WHERE z IS NOT NULL
+"""
 BLOCKS["raw_orders"] = """
     SELECT o_orderkey AS k, o_custkey, o_orderdate::DATE AS d,
            CASE WHEN o_orderstatus = 'O' THEN
@@ -96,7 +101,7 @@ BLOCKS["raw_leads"] = """
            (['organic_search','paid_search','Social ','email','referral','display','direct_traffic',
              'other_publicities',NULL])[k % 9 + 1] AS origin,
            ts AS _ingested_at
-    FROM moved_events WHERE event_type IN ('signup', 'view', 'click')
+    FROM moved_events WHERE event_type IN ('signup', 'view', 'click', 'error')
 """
 BLOCKS["raw_deals"] = """
     SELECT mql_id, user_id::VARCHAR AS seller_id,

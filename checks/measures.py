@@ -416,6 +416,31 @@ add(
              FROM f_funnel GROUP BY 1) b ON coalesce(a.sdr_id_bk, '?') = b.k""",
 )
 
+add(
+    "funnel_by_profile",
+    "business_type:s lead_behaviour_profile:s sr_id_bk:s total_deals:i",
+    figures("total_deals", by=["business_type", "lead_behaviour_profile", "sr_id_bk"]),
+    """SELECT business_type, lead_behaviour_profile, f.sr_id_bk, count(*) AS total_deals
+       FROM f_funnel f LEFT JOIN dim_channel c USING (mql_channel_sk) GROUP BY 1, 2, 3""",
+)
+_NAMED_DAY = """
+    SELECT f.*, dd.month_name, dd.day_of_week_name, dd.week_of_year FROM f_items f
+    JOIN dim_date dd ON dd.date_key = f.purchase_date_key AND dd.date_key NOT IN (19000101, 99991231)
+"""
+add(
+    "revenue_by_month_name",
+    "month_name:s total_revenue:n total_orders:i",
+    figures("total_revenue total_orders", by=["month_name"]),
+    "SELECT month_name, sum(line_total) AS total_revenue, count(DISTINCT order_id_bk) AS total_orders FROM named_day GROUP BY 1",
+    named_day=_NAMED_DAY,
+)
+add(
+    "weekday_revenue_in_weeks",
+    "day_of_week_name:s total_revenue:n",
+    figures("total_revenue", by=["day_of_week_name"], where={"week_of_year": [1, 2, 30]}),
+    "SELECT day_of_week_name, sum(line_total) AS total_revenue FROM named_day WHERE week_of_year IN (1, 2, 30) GROUP BY 1",
+    named_day=_NAMED_DAY,
+)
 add(
     "channel_measures",
     "sdr_id_bk:s active_channels:i leads:i has_company_pct:r",
@@ -716,6 +741,16 @@ add(
 )
 
 
+# fixed values: marks whose figure is good when it falls, stated apart from the registry
+FALL_IS_GOOD = {
+    "delivery_trend_arrow", "delivery_trend_color", "1_star_rate_trend_color", "reactivation_window_trend_color",
+    "delivery_days_mom_trend_color", "avg_days_to_ship_trend_color", "avg_days_carrier_to_delivery_trend_color",
+    "north_region_delivery_trend_color", "cancellation_rate_trend_color", "cancelled_orders_trend_color",
+    "unavailable_orders_trend_color", "avg_days_to_approve_trend_color", "avg_days_to_close_trend_color",
+    "active_anomalies_trend_color",
+}
+
+
 def _trend_sql() -> str:
     rows = []
     for n in TRENDS:
@@ -730,7 +765,7 @@ def _trend_sql() -> str:
         )
         up, down = ("good", "bad") if m.kind == "color" else ("up", "down")
         flat = "neutral" if m.kind == "color" else "flat"
-        sign = "" if m.higher_is_better else "-"
+        sign = "-" if n in FALL_IS_GOOD else ""
         rows.append(
             f"SELECT '{n}' AS measure, CASE WHEN {sign}v > 0 THEN '{up}' WHEN {sign}v < 0 THEN '{down}' ELSE '{flat}' END AS mark "
             f"FROM (SELECT {value} AS v)"

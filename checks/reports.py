@@ -81,9 +81,10 @@ add(
     "first_purchase_cohort",
     "month:s new_customers:i",
     on_done(lambda d: dashboards.acquisition(d, since="1995-03")),
-    """SELECT strftime(first_day, '%Y-%m') AS month, count(*) AS new_customers
-       FROM (SELECT customer_unique_id, min(purchase_date) AS first_day FROM done GROUP BY 1)
-       GROUP BY 1 HAVING month >= '1995-03'""",
+    """SELECT coalesce(strftime(first_day, '%Y-%m'), 'unknown') AS month, count(*) AS new_customers
+       FROM (SELECT customer_unique_id, min(purchase_date) FILTER (purchase_date <> DATE '1900-01-01') AS first_day
+             FROM done WHERE customer_unique_id IS NOT NULL GROUP BY 1)
+       GROUP BY 1 HAVING month >= '1995-03' OR month = 'unknown'""",
 )
 add(
     "delivery_kpis",
@@ -130,10 +131,10 @@ add(
 _PROFILE = """
     SELECT seller_id, count(*) AS total_orders, sum(total_order_value) AS total_revenue, avg(review_score) AS avg_review,
            avg(is_delivered_on_time::INT) AS pct_on_time,
-           arg_min(seller_state, (purchase_date, order_id)) AS seller_state,
-           arg_min(seller_city, (purchase_date, order_id)) AS seller_city,
-           arg_min(marketing_origin, (purchase_date, order_id)) FILTER (marketing_origin IS NOT NULL) AS marketing_origin,
-           arg_min(payment_type, (purchase_date, order_id)) FILTER (payment_type IS NOT NULL) AS payment_type
+           arg_min(seller_state, (coalesce(nullif(purchase_date, DATE '1900-01-01'), DATE '9999-12-31'), order_id)) AS seller_state,
+           arg_min(seller_city, (coalesce(nullif(purchase_date, DATE '1900-01-01'), DATE '9999-12-31'), order_id)) AS seller_city,
+           arg_min(marketing_origin, (coalesce(nullif(purchase_date, DATE '1900-01-01'), DATE '9999-12-31'), order_id)) FILTER (marketing_origin IS NOT NULL) AS marketing_origin,
+           arg_min(payment_type, (coalesce(nullif(purchase_date, DATE '1900-01-01'), DATE '9999-12-31'), order_id)) FILTER (payment_type IS NOT NULL) AS payment_type
     FROM done WHERE seller_id IS NOT NULL GROUP BY 1
 """
 _PLAIN = ["seller_state", "seller_city", "marketing_origin", "payment_type"]
@@ -179,47 +180,42 @@ add(
 # --- features ---------------------------------------------------------------
 
 _RFM = """
-    SELECT customer_unique_id, date_diff('day', max(purchase_date), DATE '2001-08-31') AS recency_days,
+    SELECT customer_unique_id, date_diff('day', max(purchase_date) FILTER (purchase_date <> DATE '1900-01-01'), DATE '2001-08-31') AS recency_days,
            count(*) AS frequency_orders, sum(total_order_value) AS monetary_total
-    FROM done WHERE customer_unique_id IS NOT NULL AND purchase_date <> DATE '1900-01-01' GROUP BY 1
+    FROM done WHERE customer_unique_id IS NOT NULL GROUP BY 1
 """
 
 
-def dated(spark, folder):
-    """Delivered orders with a known purchase day."""
-    return done(spark, folder).where("purchase_date <> DATE '1900-01-01'")
-
-
 ANCHOR = "2001-08-31"
 
 add(
     "rfm_features",
     "customer_unique_id:s recency_days:i frequency_orders:i monetary_total:n",
-    lambda s, f: features.rfm(dated(s, f), ANCHOR),
+    lambda s, f: features.rfm(done(s, f), ANCHOR),
     "SELECT * FROM rfm",
     rfm=_RFM,
 )
 _CHURN = """
-    SELECT customer_unique_id, date_diff('day', max(purchase_date), DATE '2001-08-31') AS recency_days,
+    SELECT customer_unique_id, date_diff('day', max(purchase_date) FILTER (purchase_date <> DATE '1900-01-01'), DATE '2001-08-31') AS recency_days,
            count(*) AS frequency, sum(total_order_value) AS monetary,
            sum(total_order_value)::DOUBLE / count(*) AS avg_order_value, avg(review_score) AS avg_review_score,
            avg(is_delivered_on_time::INT) AS pct_on_time, avg(days_to_deliver) AS avg_days_deliver,
            avg(days_delivery_variance) AS avg_variance,
-           CASE WHEN date_diff('day', max(purchase_date), DATE '2001-08-31') > 180 THEN 1 ELSE 0 END AS churned
-    FROM done WHERE customer_unique_id IS NOT NULL AND purchase_date <> DATE '1900-01-01' GROUP BY 1
+           CASE WHEN recency_days > 180 THEN 1 WHEN recency_days <= 180 THEN 0 END AS churned
+    FROM done WHERE customer_unique_id IS NOT NULL GROUP BY 1
 """
 add(
     "churn_features",
     "customer_unique_id:s recency_days:i frequency:i monetary:n avg_order_value:r avg_review_score:r pct_on_time:r "
     "avg_days_deliver:r avg_variance:r churned:i",
-    lambda s, f: features.churn(dated(s, f), ANCHOR),
+    lambda s, f: features.churn(done(s, f), ANCHOR),
     "SELECT * FROM churn",
     churn=_CHURN,
 )
 add(
     "churn_rate",
     "customers:i churn_rate:r",
-    lambda s, f: features.churn(dated(s, f), ANCHOR).agg(
+    lambda s, f: features.churn(done(s, f), ANCHOR).agg(
         F.count("*").alias("customers"), F.avg("churned").alias("churn_rate")
     ),
     "SELECT count(*) AS customers, avg(churned) AS churn_rate FROM churn",
@@ -234,7 +230,7 @@ _TIERS = """
 add(
     "ltv_tiers",
     "customer_unique_id:s monetary_total:n ltv_tier:s",
-    lambda s, f: features.ltv_tiers(features.rfm(dated(s, f), ANCHOR)),
+    lambda s, f: features.ltv_tiers(features.rfm(done(s, f), ANCHOR)),
     "SELECT * FROM tiers",
     rfm=_RFM,
     tiers=_TIERS,
@@ -242,11 +238,11 @@ add(
 
 
 def tiered(spark, folder):
-    orders = dated(spark, folder)
+    orders = done(spark, folder)
     return orders.join(features.ltv_tiers(features.rfm(orders, ANCHOR)), "customer_unique_id", "left")
 
 
-_TIERED = "SELECT d.*, t.ltv_tier FROM done d LEFT JOIN tiers t USING (customer_unique_id) WHERE purchase_date <> DATE '1900-01-01'"
+_TIERED = "SELECT d.*, t.ltv_tier FROM done d LEFT JOIN tiers t USING (customer_unique_id)"
 add(
     "segment_stats",
     "ltv_tier:s customers:i avg_order_value:r avg_review:r",
@@ -273,13 +269,13 @@ add(
     "customer_feature_table",
     "customer_unique_id:s customer_state:s frequency_orders:i monetary_total:n recency_days:i churned:i avg_installments:r "
     "categories:i",
-    lambda s, f: features.customer_table(dated(s, f), ANCHOR),
+    lambda s, f: features.customer_table(done(s, f), ANCHOR),
     """SELECT customer_unique_id, arg_max(customer_state, (purchase_date, order_id)) AS customer_state,
               count(*) AS frequency_orders, sum(total_order_value) AS monetary_total,
-              date_diff('day', max(purchase_date), DATE '2001-08-31') AS recency_days,
-              CASE WHEN recency_days > 180 THEN 1 ELSE 0 END AS churned, avg(payment_installments) AS avg_installments,
+              date_diff('day', max(purchase_date) FILTER (purchase_date <> DATE '1900-01-01'), DATE '2001-08-31') AS recency_days,
+              CASE WHEN recency_days > 180 THEN 1 WHEN recency_days <= 180 THEN 0 END AS churned, avg(payment_installments) AS avg_installments,
               count(DISTINCT product_category_name) AS categories
-       FROM done WHERE customer_unique_id IS NOT NULL AND purchase_date <> DATE '1900-01-01' GROUP BY 1""",
+       FROM done WHERE customer_unique_id IS NOT NULL GROUP BY 1""",
 )
 _KPI = """
     SELECT seller_id, count(*) AS total_orders, avg(review_score) AS avg_review_score,
@@ -308,9 +304,9 @@ add(
     "seller_id:s total_orders:i total_revenue:n seller_state:s marketing_origin:s days_to_close:n",
     lambda s, f: features.seller_table(done(s, f)),
     """SELECT seller_id, count(*) AS total_orders, sum(total_order_value) AS total_revenue,
-              arg_min(seller_state, (purchase_date, order_id)) AS seller_state,
-              arg_min(marketing_origin, (purchase_date, order_id)) FILTER (marketing_origin IS NOT NULL) AS marketing_origin,
-              arg_min(days_to_close, (purchase_date, order_id)) FILTER (days_to_close IS NOT NULL) AS days_to_close
+              arg_min(seller_state, (coalesce(nullif(purchase_date, DATE '1900-01-01'), DATE '9999-12-31'), order_id)) AS seller_state,
+              arg_min(marketing_origin, (coalesce(nullif(purchase_date, DATE '1900-01-01'), DATE '9999-12-31'), order_id)) FILTER (marketing_origin IS NOT NULL) AS marketing_origin,
+              arg_min(days_to_close, (coalesce(nullif(purchase_date, DATE '1900-01-01'), DATE '9999-12-31'), order_id)) FILTER (days_to_close IS NOT NULL) AS days_to_close
        FROM done WHERE seller_id IS NOT NULL GROUP BY 1""",
 )
 add(

@@ -18,7 +18,7 @@ def warehouse(spark):
 
 @pytest.fixture(scope="module")
 def done(warehouse):
-    return dashboards.delivered(warehouse["order_table"]).where("purchase_date <> DATE '1900-01-01'")
+    return dashboards.delivered(warehouse["order_table"])
 
 
 def test_loads_stop_at_the_first_failure_and_models_do_not():
@@ -41,7 +41,7 @@ def test_loads_stop_at_the_first_failure_and_models_do_not():
 def test_ordered_runs_over_raw_tables(spark, tmp_path):
     sources = {n: (lambda read=read: read(spark, FOLDER)) for n, read in binding.RAW.items()}
     outcomes = jobs.ingest_all(spark, sources, str(tmp_path / "raw"))
-    assert all(o.ok and o.rows for o in outcomes) and len(outcomes) == 10
+    assert all(o.ok and o.rows for o in outcomes) and len(outcomes) == 11
     steps = run(spark, str(tmp_path / "raw"), str(tmp_path / "wh"))
     assert {o.job for o in steps} == set(cleaning.JOBS) | set(DIMENSIONS + FACTS) and all(o.rows for o in steps)
 
@@ -167,3 +167,44 @@ def test_model_run_puts_scores_on_orders(warehouse, tmp_path, monkeypatch):
     scored, outcomes = jobs.run_models(orders, str(tmp_path / "scored"), {"seller_tiers": {"starts": 2}})
     assert [o.ok for o in outcomes] == [True, False]
     assert scored.count() == orders.count() and "seller_tier" in scored.columns
+
+
+def test_a_damaged_dimension_stops_the_load(spark, tmp_path):
+    raw = {n: (lambda read=read: read(spark, FOLDER)) for n, read in binding.RAW.items()}
+    root = tmp_path / "wh"
+    (root / "dim_seller").mkdir(parents=True)
+    (root / "dim_seller" / "part-0.parquet").write_bytes(b"not a table")
+    with pytest.raises(Exception) as e:
+        Warehouse(spark, raw, str(root))["dim_seller"]
+    assert "PATH_NOT_FOUND" not in str(e.value)
+    assert (root / "dim_seller" / "part-0.parquet").read_bytes() == b"not a table"
+
+
+def test_no_shared_folder_without_a_setting():
+    from tradewind.session import shared_folder
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Session:
+        conf = Conf()
+        sparkContext = type("C", (), {"master": "spark://host:7077"})()
+
+    with pytest.raises(ValueError):
+        shared_folder(Session())
+
+
+def test_hold_out_takes_its_share_of_each_label(spark):
+    from tradewind.operators.summaries import in_stratified_test_set
+
+    df = spark.range(5000).select(F.col("id").cast("string").alias("k"), (F.col("id") % 10 == 0).cast("int").alias("y"))
+    marked = df.withColumn("t", in_stratified_test_set(df, "k", "y"))
+    got = {(r.y, r.t): r["count"] for r in marked.groupBy("y", "t").count().collect()}
+    assert sum(got.values()) == 5000 and abs(got[0, True] - 900) <= 2 and abs(got[1, True] - 100) <= 2
+
+
+def test_scores_do_not_depend_on_files(spark, done):
+    one = models.seller_churn(done.coalesce(1), ANCHOR, rounds=3).scores
+    many = models.seller_churn(done.repartition(8), ANCHOR, rounds=3).scores
+    assert sorted(map(tuple, one.collect())) == sorted(map(tuple, many.collect()))

@@ -108,3 +108,11 @@ def test_date_windows_reach_the_scan(star, capsys):
 def test_figures_of_one_fact_share_a_scan(star, capsys):
     evaluate(star, ["total_revenue", "total_freight", "total_order_items"]).explain()
     assert capsys.readouterr().out.count("FileScan") == 1
+
+
+def test_polarity_agrees_with_the_stated_list():
+    from checks.measures import FALL_IS_GOOD
+    from tradewind.plans import measures as M
+
+    marks = {n: m for n, m in M.MEASURES.items() if isinstance(m, M.Trend)}
+    assert {n for n, m in marks.items() if not m.higher_is_better} == FALL_IS_GOOD

@@ -23,5 +23,18 @@ def fixed_sample(df: DataFrame, key: str, size: int, seed: int = 42) -> DataFram
 
 
 def in_test_set(key: str, percent: int = 20, seed: int = 42) -> Column:
-    """Repeatable hold-out mark: about `percent` of the keys, in every label alike."""
+    """Repeatable hold-out mark: about `percent` of the keys."""
     return F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(100)) < percent
+
+
+def in_stratified_test_set(df: DataFrame, key: str, label: str, percent: int = 20, seed: int = 42) -> Column:
+    """Repeatable hold-out mark: `percent` of the keys of every label, by the order of their hashes.
+
+    One hash per label, the one that cuts off this share, reaches the driver.
+    """
+    spread = F.xxhash64(F.col(key), F.lit(seed))
+    cuts = df.groupBy(label).agg(F.percentile_approx(spread, percent / 100, 10_000).alias("cut")).collect()
+    mark = F.lit(False)
+    for row in cuts:
+        mark = F.when(F.col(label).eqNullSafe(F.lit(row[label])), spread <= row["cut"]).otherwise(mark)
+    return mark

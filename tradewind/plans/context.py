@@ -32,6 +32,22 @@ ATTRIBUTES = {
     "year_month": "date",
     "is_weekend": "date",
     "is_holiday": "date",
+    "day_of_week_num": "date",
+    "day_of_week_name": "date",
+    "day_of_month": "date",
+    "week_of_year": "date",
+    "month_num": "date",
+    "month_name": "date",
+    "quarter_num": "date",
+    "quarter_name": "date",
+    "customer_zip_code_prefix": "customer",
+    "product_photos_qty": "product",
+    "product_weight_g": "product",
+    "product_length_cm": "product",
+    "product_height_cm": "product",
+    "product_width_cm": "product",
+    "product_description_length": "product",
+    "seller_zip_code_prefix": "seller",
     "customer_state": "customer",
     "customer_city": "customer",
     "product_category_name": "product",
@@ -44,10 +60,23 @@ ATTRIBUTES = {
     "origin": "channel",
     "business_segment": "channel",
     "lead_type": "channel",
+    "lead_behaviour_profile": "channel",
+    "business_type": "channel",
+    "landing_page_id": "channel",
+    "has_company": "channel",
+    "has_gtin": "channel",
+    "average_stock": "channel",
+    "sr_id_bk": "channel",
     "sdr_id_bk": "channel",
     "review_comment_message": "comments",
 }
-OWN = {"seller_sk", "payment_installments", "sdr_id_bk"}
+OWN = {"seller_sk", "payment_installments", "sdr_id_bk", "sr_id_bk"}
+
+
+DAY_PARTS = [
+    "day_of_week_num", "day_of_week_name", "day_of_month", "week_of_year", "month_num", "month_name", "quarter_num",
+    "quarter_name",
+]
 
 
 @dataclass(frozen=True)
@@ -182,6 +211,7 @@ class Star:
             "year_month",
             "is_weekend",
             "is_holiday",
+            *DAY_PARTS,
         )
 
 
@@ -329,7 +359,7 @@ def _buyers(star: Star, attributes: Sequence[str], ctx: Context) -> DataFrame:
 def _channels(star: Star, attributes: Sequence[str], ctx: Context) -> DataFrame:
     """Leads; what restricts the deals (days, sellers, staff) restricts them to the leads of those deals."""
     wanted = list(dict.fromkeys([*attributes, *ctx.where]))
-    through = [a for a in wanted if a == "sdr_id_bk" or ATTRIBUTES[a] != "channel"]
+    through = [a for a in wanted if a in ("sdr_id_bk", "sr_id_bk") or ATTRIBUTES[a] != "channel"]
     through = reachable("funnel", through)
     leads = _dimension("dim_marketing_channel", "channels")(star, attributes, ctx)
     if not through and not ctx.windows:

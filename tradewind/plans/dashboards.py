@@ -7,12 +7,18 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tradewind.functions import vocab
 from tradewind.functions.numbers import ratio
 from tradewind.operators.dedupe import latest_per_key
 from tradewind.operators.ranking import top_k
 from tradewind.operators.summaries import fixed_sample, histogram
 
 
+def known_day(column: str = "purchase_date") -> Column:
+    """The day, NULL where it is the sentinel of an unknown one."""
+    return F.when(F.col(column) != F.lit(vocab.UNKNOWN_DATE).cast("date"), F.col(column))
+
+
 def apply_context(df: DataFrame, filters: Mapping[str, Sequence]) -> DataFrame:
     """IN-list filters per column; they reach the scan."""
     for column, values in filters.items():
@@ -104,14 +110,13 @@ def segment_state_revenue(done: DataFrame, segment: str, k: int = 8) -> DataFram
 
 
 def acquisition(done: DataFrame, since: str = "2017-01") -> DataFrame:
-    """Customers by the month of their first order."""
+    """Customers by the month of their first known order; `unknown` holds those without a known day."""
     first = done.where(F.col("customer_unique_id").isNotNull()).groupBy("customer_unique_id").agg(
-        F.min("purchase_date").alias("first_day")
-    )
-    months = first.groupBy(F.date_format("first_day", "yyyy-MM").alias("month")).agg(
-        F.count("*").alias("new_customers")
+        F.min(known_day()).alias("first_day")
     )
-    return months.where(F.col("month") >= since).orderBy("month")
+    month = F.coalesce(F.date_format("first_day", "yyyy-MM"), F.lit("unknown"))
+    months = first.groupBy(month.alias("month")).agg(F.count("*").alias("new_customers"))
+    return months.where((F.col("month") >= since) | (F.col("month") == "unknown")).orderBy("month")
 
 
 # --- delivery ---------------------------------------------------------------
@@ -165,8 +170,8 @@ def prediction_sample(scored: DataFrame, size: int = 3000) -> DataFrame:
 
 
 def first_known(column: str) -> Column:
-    """Aggregate: the earliest order's value that is not NULL."""
-    moment = F.struct("purchase_date", "order_id")
+    """Aggregate: the earliest order's value that is not NULL; orders without a known day come last."""
+    moment = F.struct(F.coalesce(known_day(), F.lit("9999-12-31").cast("date")).alias("day"), "order_id")
     return F.min_by(column, F.when(F.col(column).isNotNull(), moment)).alias(column)
 
 

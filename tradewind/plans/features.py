@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from tradewind.functions import vocab
 from tradewind.operators.ranking import ranked
-from tradewind.plans.dashboards import first_known, seller_profile
+from tradewind.plans.dashboards import known_day, seller_profile
 
 
 def _recency(anchor: str) -> Column:
-    return F.datediff(F.lit(anchor).cast("date"), F.max("purchase_date"))
+    """Days since the last known purchase day; NULL where no day is known."""
+    return F.datediff(F.lit(anchor).cast("date"), F.max(known_day()))
 
 
 def _known_customer(done: DataFrame) -> DataFrame:
@@ -67,7 +68,8 @@ def ltv_tiers(customers: DataFrame, measure: str = "monetary_total") -> DataFram
 
 def customer_table(done: DataFrame, anchor: str = vocab.ANCHOR_DATE, churn_days: int = vocab.CHURN_DAYS) -> DataFrame:
     """Customer-grain feature table."""
-    newest = F.struct("purchase_date", "order_id")
+    # an order without a known day is older than any other
+    newest = F.struct(F.coalesce(known_day(), F.lit(vocab.UNKNOWN_DATE).cast("date")).alias("day"), "order_id")
     return (
         _known_customer(done)
         .groupBy("customer_unique_id")

@@ -706,6 +706,8 @@ LOWER_IS_BETTER = {
     "Avg Days Carrier to Delivery",
     "North Region Delivery",
     "Cancellation Rate",
+    "Cancelled Orders",
+    "Unavailable Orders",
     "Avg Days to Approve",
     "Avg Days to Close",
     "Active Anomalies",

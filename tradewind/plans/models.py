@@ -32,8 +32,9 @@ from tradewind.functions.numbers import (
     segment_name,
 )
 from tradewind.operators.ranking import average_rank
-from tradewind.operators.summaries import in_test_set
+from tradewind.operators.summaries import in_stratified_test_set, in_test_set
 from tradewind.plans import features
+from tradewind.plans.dashboards import known_day
 from tradewind.session import shared_folder
 
 SEED = 42
@@ -55,22 +56,22 @@ class Fitted:
             self.held.unpersist()
 
 
-ROWS_PER_TASK = 20_000
+PARTS = 4
 
 
-def _held(df: DataFrame) -> DataFrame:
+def _held(df: DataFrame, key: str, parts: int = PARTS) -> DataFrame:
     """Keep a training frame that every pass of a learner reads; lost parts are recomputed.
 
-    Learners run thousands of short passes, so a small frame is put in few
-    partitions; a large one keeps those it has.
+    Row sampling and starts are seeded per partition, so rows go to a fixed
+    number of partitions by a hash of their key and are sorted there: the scores
+    depend on the rows alone, not on files, cluster or size. Give larger data
+    more `parts`.
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         # tree ensembles cut their lineage there every few rounds
         context.setCheckpointDir(shared_folder(df.sparkSession))
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    wanted = kept.count() // ROWS_PER_TASK + 1
-    return kept.coalesce(wanted) if wanted < kept.rdd.getNumPartitions() else kept
+    return df.repartition(parts, key).sortWithinPartitions(key).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 # --- clustering ---------------------------------------------------------------
@@ -109,9 +110,12 @@ def customer_segments(
     """Recency, frequency and log value, standardised and clustered."""
     rfm = features.rfm(done, anchor)
     rfm = rfm.withColumn("_log_value", F.log1p(F.col("monetary_total").cast("double")))
-    assembler = VectorAssembler(inputCols=["recency_days", "frequency_orders", "_log_value"], outputCol="_raw")
+    assembler = VectorAssembler(inputCols=["_recency", "frequency_orders", "_log_value"], outputCol="_raw")
     scaler = StandardScaler(inputCol="_raw", outputCol="_scaled", withMean=True, withStd=True)
-    data = _held(rfm)
+    # a customer without a known day counts as one that has been away longest
+    longest = rfm.agg(F.max("recency_days")).scalar()
+    filled = rfm.withColumn("_recency", F.coalesce("recency_days", longest, F.lit(0)))
+    data = _held(filled, "customer_unique_id")
     prepared = Pipeline(stages=[assembler, scaler]).fit(data).transform(data)
     model = best_kmeans(prepared, "_scaled", k, starts)
     placed = model.transform(prepared)
@@ -128,7 +132,7 @@ SELLER_TIERS = ["Top Seller", "Average", "Underperformer"]
 
 def seller_tiers(done: DataFrame, starts: int = 10) -> Fitted:
     """Composite score, clustered in three; clusters are named by falling mean score."""
-    data = _held(features.seller_scores(done))
+    data = _held(features.seller_scores(done), "seller_id")
     prepared = VectorAssembler(inputCols=["seller_performance_score"], outputCol="_score").transform(data)
     model = best_kmeans(prepared, "_score", len(SELLER_TIERS), starts)
     centres = [float(c[0]) for c in model.clusterCenters()]
@@ -145,7 +149,7 @@ def seller_tiers(done: DataFrame, starts: int = 10) -> Fitted:
 
 def class_counts(df: DataFrame, label: str) -> dict[int, int]:
     """Rows per class (two rows)."""
-    return {int(r[0]): int(r[1]) for r in df.groupBy(label).count().collect()}
+    return {int(r[0]): int(r[1]) for r in df.where(F.col(label).isNotNull()).groupBy(label).count().collect()}
 
 
 def balanced_weight(df: DataFrame, label: str) -> Column:
@@ -225,10 +229,13 @@ def _positive(column: str = "probability") -> Column:
 
 
 def _classified(data: DataFrame, key: str, label: str, learner, weight: Column, name: str) -> Fitted:
-    train = data.where(~in_test_set(key)).withColumn("_weight", weight)
+    """Fit on four fifths of each class, report on the rest, score all; rows without a label are only scored."""
+    known = data.where(F.col(label).isNotNull())
+    tested = in_stratified_test_set(known, key, label)
+    train = known.where(~tested).withColumn("_weight", weight)
     model = learner.setLabelCol(label).setFeaturesCol("features").setWeightCol("_weight").fit(train)
     scored = model.transform(data).withColumn(name, _positive())
-    metrics = binary_report(scored.where(in_test_set(key)), label, name)
+    metrics = binary_report(scored.where(F.col(label).isNotNull() & tested), label, name)
     return Fitted(scored, metrics, model, data)
 
 
@@ -240,7 +247,7 @@ def churn_risk(
     filled = cust.select(
         "customer_unique_id", "churned", *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in CHURN_FEATURES]
     )
-    data = _held(VectorAssembler(inputCols=CHURN_FEATURES, outputCol="features").transform(filled))
+    data = _held(VectorAssembler(inputCols=CHURN_FEATURES, outputCol="features").transform(filled), "customer_unique_id")
     learner = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=SEED)
     fitted = _classified(data, "customer_unique_id", "churned", learner, balanced_weight(data, "churned"), "churn_probability")
     tiered = fitted.scores.select(
@@ -253,7 +260,7 @@ def delay_risk(done: DataFrame, rounds: int = 300, depth: int = 6, rate: float =
     """Boosted trees on what is known at dispatch."""
     raw = features.delay(done)
     encoder, bins = label_pipeline(raw, features.DELAY_NUMBERS, features.DELAY_LABELS)
-    data = _held(encoder.transform(raw).select("order_id", "is_late", "features"))
+    data = _held(encoder.transform(raw).select("order_id", "is_late", "features"), "order_id")
     learner = GBTClassifier(
         maxIter=rounds, maxDepth=depth, stepSize=rate, subsamplingRate=0.8, featureSubsetStrategy="0.8", maxBins=bins, seed=SEED
     )
@@ -268,7 +275,7 @@ def review_scores(done: DataFrame, rounds: int = 400, depth: int = 6, rate: floa
     """Boosted regression of the score, kept within 1..5 and rounded to halves."""
     raw = features.review(done)
     encoder, bins = label_pipeline(raw, features.REVIEW_NUMBERS, features.REVIEW_LABELS)
-    data = _held(encoder.transform(raw).select("order_id", "review_score", "features"))
+    data = _held(encoder.transform(raw).select("order_id", "review_score", "features"), "order_id")
     learner = GBTRegressor(
         labelCol="review_score",
         featuresCol="features",
@@ -317,7 +324,7 @@ def lifetime_value(done: DataFrame, anchor: str = vocab.ANCHOR_DATE, rounds: int
         F.log1p(F.col("monetary_total").cast("double")).alias("log_value"),
         *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in LTV_FEATURES],
     )
-    data = _held(VectorAssembler(inputCols=LTV_FEATURES, outputCol="features").transform(filled))
+    data = _held(VectorAssembler(inputCols=LTV_FEATURES, outputCol="features").transform(filled), "customer_unique_id")
     learner = GBTRegressor(labelCol="log_value", featuresCol="features", maxIter=rounds, maxDepth=5, seed=SEED)
     model = learner.fit(data.where(~in_test_set("customer_unique_id")))
     scored = model.transform(data)
@@ -334,13 +341,13 @@ def seller_churn(
     done: DataFrame, anchor: str = vocab.ANCHOR_DATE, churn_days: int = vocab.CHURN_DAYS, rounds: int = 100
 ) -> Fitted:
     """Will a seller have sold nothing for more than `churn_days`?"""
-    last = done.where("seller_id IS NOT NULL").groupBy("seller_id").agg(F.max("purchase_date").alias("last_sale"))
+    last = done.where("seller_id IS NOT NULL").groupBy("seller_id").agg(F.max(known_day()).alias("last_sale"))
     quiet = F.datediff(F.lit(anchor).cast("date"), F.col("last_sale")) > churn_days
     table = features.seller_table(done).join(last, "seller_id").withColumn("churned", quiet.cast("int"))
     filled = table.select(
         "seller_id", "churned", *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in SELLER_FEATURES]
     )
-    data = _held(VectorAssembler(inputCols=SELLER_FEATURES, outputCol="features").transform(filled))
+    data = _held(VectorAssembler(inputCols=SELLER_FEATURES, outputCol="features").transform(filled), "seller_id")
     learner = GBTClassifier(maxIter=rounds, maxDepth=4, seed=SEED)
     fitted = _classified(data, "seller_id", "churned", learner, rare_class_weight(data, "churned"), "churn_probability")
     return Fitted(fitted.scores.select("seller_id", "churn_probability"), fitted.metrics, fitted.model, data)

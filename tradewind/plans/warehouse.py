@@ -124,9 +124,13 @@ class Warehouse(Mapping):
     def _stored(self, path: str) -> DataFrame | None:
         """The dimension of the last load, copied aside because its place is about to be replaced."""
         try:
-            return staged(self.spark.read.parquet(path))
-        except AnalysisException:
+            stored = self.spark.read.parquet(path)
+        except AnalysisException as e:
+            # only a missing table is a first load; a damaged one must not renumber the keys
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
             return None
+        return staged(stored)
 
     def __iter__(self):
         return iter(self._jobs)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,6 +29,8 @@ def configure(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """Folder that every executor can reach: the cluster's checkpoint folder, a local one in tests."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder and not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     if not folder:
         folder = tempfile.mkdtemp(prefix="tradewind-")
         spark.conf.set("spark.checkpoint.dir", folder)

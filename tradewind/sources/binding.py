@@ -228,8 +228,8 @@ def _events(spark: SparkSession, folder: str, kinds: list[str]) -> DataFrame:
 
 
 def marketing_qualified_leads(spark: SparkSession, folder: str) -> DataFrame:
-    """A user's signups, views and clicks of one week are one lead."""
-    ev = _events(spark, folder, ["signup", "view", "click"])
+    """A user's signups, views, clicks and errors of one week are one lead."""
+    ev = _events(spark, folder, ["signup", "view", "click", "error"])
     origins = [
         "organic_search",
         "paid_search",
@@ -279,6 +279,26 @@ def closed_deals(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def geolocation(spark: SparkSession, folder: str) -> DataFrame:
+    """Every place (postcode, city, state) of customers and sellers, with coordinates by arithmetic."""
+    places = customers(spark, folder).select(
+        F.col("customer_zip_code_prefix").cast("long").alias("z"),
+        F.col("customer_city").alias("c"),
+        F.trim("customer_state").alias("s"),
+    )
+    shops = sellers(spark, folder).select(F.col("seller_zip_code_prefix").cast("long"), "seller_city", "seller_state")
+    z = F.col("z")
+    return places.union(shops).where(z.isNotNull()).distinct().select(
+        z.alias("geolocation_zip_code_prefix"),
+        (z % 180 / 2 - 45).alias("geolocation_lat"),
+        (z % 360 / 2 - 90).alias("geolocation_lng"),
+        F.col("c").alias("geolocation_city"),
+        F.col("s").alias("geolocation_state"),
+        F.lit("2024-01-01").cast("timestamp").alias("_ingested_at"),
+        F.lit("http").alias("_source"),
+    )
+
+
 RAW = {
     "customers": customers,
     "orders": orders,
@@ -290,4 +310,5 @@ RAW = {
     "product_category_name_translation": translation,
     "marketing_qualified_leads": marketing_qualified_leads,
     "closed_deals": closed_deals,
+    "geolocation": geolocation,
 }

@@ -53,10 +53,9 @@ class PayloadError(ValueError):
     """The landed file is not the CSV it should be."""
 
 
-def read_checked_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV whose first line is checked: JSON or HTML answers and other headers are errors."""
+def _check_header(spark: SparkSession, path: str, schema: T.StructType) -> None:
     head = spark.read.text(path).where(F.trim("value") != "").limit(1).collect()
-    first = head[0][0].strip().lstrip("﻿") if head else ""
+    first = head[0][0].strip().lstrip(chr(0xFEFF)) if head else ""
     if not first:
         raise PayloadError(f"{path}: empty file")
     if first[0] in "{[<":
@@ -64,6 +63,15 @@ def read_checked_csv(spark: SparkSession, path: str, schema: T.StructType) -> Da
     names = [n.strip().strip('"') for n in first.split(",")]
     if names != schema.fieldNames():
         raise PayloadError(f"{path}: header {names} instead of {schema.fieldNames()}")
+
+
+def read_checked_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """CSV files whose first lines are checked: JSON or HTML answers and other headers are errors."""
+    files = spark.read.text(path).inputFiles()
+    if not files:
+        raise PayloadError(f"{path}: empty file")
+    for file in files:
+        _check_header(spark, file, schema)
     return spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(path)
 
 
@@ -83,6 +91,8 @@ def load_order_table(spark: SparkSession, table_path: str, snapshot_path: str, s
     """
     try:
         return spark.read.parquet(table_path), False
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         raw = spark.read.option("header", True).schema(schema).csv(snapshot_path)
         return raw.withColumn("purchase_date", F.to_date("purchase_date")), True
