@@ -1,4 +1,4 @@
-"""N-gram Jaccard join: prefix filter, families of candidates, a prefix tree in each."""
+"""N-gram Jaccard join: families of candidates by neighbouring n-grams, a prefix tree in each."""
 
 from __future__ import annotations
 
@@ -13,10 +13,8 @@ from tradewind.llm.common import ascii_lower, documents, python_workers, whole
 from tradewind.llm.links import components
 from tradewind.session import staged
 
-HOT = 24  # documents that a prefix n-gram may have before it goes to the end of the order
-HOT_LIST = 1_000_000  # bound of the list of such n-grams that is sent to the tasks
-REFINED = 2  # times that the order is refined
-TASK = 1_500_000  # n-grams that a task of the tree join should hold
+TASK = 5_000_000  # n-grams that a task of the tree join should hold
+BITS = 24  # of the mark table by which texts without candidates are left out
 CLASS = 1.05  # ratio of the set sizes that share a size class
 
 MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
@@ -70,83 +68,135 @@ def ngrams(text: bytes, n: int) -> np.ndarray:
 
 
 def prefix_length(size: int, percent: int) -> int:
-    """N-grams of which two sets of this likeness share at least one."""
-    return size - -(-percent * size // 100) + 1
+    """How many n-grams, from the smallest hash on, hold two neighbours that a linked set has as neighbours too.
 
-
-def _signed(h: np.ndarray) -> np.ndarray:
-    return h.view(np.int64)
+    Linked sets of a and b n-grams with o in common differ in D = a + b - 2 o. Among the
+    first D + 2 common ones there are D + 1 neighbours, and each difference parts
+    one at most. The set has a - o of its own before the last of them at most;
+    D + 2 + a - o is largest for the smallest b, and then 2 a (1 - share) + 2.
+    """
+    return min(size, 2 * size * (100 - percent) // 100 + 3)
 
 
-def _prefixes(n: int, percent: int, hot):
+def _prefixes(n: int, percent: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        last = hot.value if hot is not None else np.zeros(0, np.uint64)
         for pdf in batches:
             out = []
             for doc, text in zip(pdf["doc_id"], pdf["text"]):
                 s = ngrams(bytes(text), n)
-                if not len(s):
-                    out.append((doc, 0, 0, 0, []))
-                    continue
-                # order: n-grams off the hot list by hash, then those on it
-                k = prefix_length(len(s), percent)
-                if len(last):
-                    at = np.minimum(np.searchsorted(last, s), len(last) - 1)
-                    is_hot = last[at] == s
-                    first = np.concatenate([s[~is_hot][:k], s[is_hot][:k]])[:k]
-                else:
-                    first = s[:k]
-                one, two = _signed(np.array([np.bitwise_xor.reduce(_mixed(s + MIX[0])), np.add.reduce(_mixed(s ^ MIX[1]))], np.uint64))
-                out.append((doc, len(s), int(one), int(two), _signed(first).tolist()))
-            yield pd.DataFrame(out, columns=["doc_id", "n", "d1", "d2", "first"]).astype({"doc_id": "Int64"})
+                first = s[: prefix_length(len(s), percent)]
+                keys = _mixed(first[:-1] * BASE + first[1:])
+                one = np.bitwise_xor.reduce(_mixed(s + MIX[0])) if len(s) else np.uint64(0)
+                two = np.add.reduce(_mixed(s ^ MIX[1])) if len(s) else np.uint64(0)
+                out.append((doc, len(s), int(np.int64(one.view(np.int64))), int(np.int64(two.view(np.int64))), keys.view(np.int64).tolist()))
+            yield pd.DataFrame(out, columns=["doc_id", "n", "d1", "d2", "keys"]).astype({"doc_id": "Int64"})
 
     return run
 
 
 class _Tree:
-    """A prefix tree over sets of local n-gram numbers, edges without branches joined."""
-
-    def __init__(self, sets: list[np.ndarray]):
-        self.sets = sets
-        self.order = sorted(range(len(sets)), key=lambda i: sets[i].tobytes())  # any order that groups equal beginnings
-        self.sizes = np.array([len(s) for s in sets])
-
-    def nodes(self):
-        """Root: (edge, depth after it, smallest size, largest size, children, leaf)."""
-        keys = [self.sets[i] for i in self.order]
-
-        def shared(a, b):
-            m = min(len(a), len(b))
-            d = np.flatnonzero(a[:m] != b[:m])
-            return int(d[0]) if len(d) else m
-
-        lcp = [shared(a, b) for a, b in zip(keys, keys[1:])]
-        # nodes open on the way to the last key: [depth, children, smallest, largest]
-        stack = [[0, [], 1 << 60, 0, None]]
-
-        def close(to: int):
-            """Close nodes deeper than `to`; a node at `to` is on top afterwards."""
-            while stack[-1][0] > to:
-                depth, children, lo, hi, sample = stack.pop()
-                above = stack[-1]
-                if above[0] < to:
-                    above = [to, [], 1 << 60, 0, sample]
-                    stack.append(above)
-                above[1].append((sample[above[0] : depth], depth, lo, hi, children))
-                above[2], above[3] = min(above[2], lo), max(above[3], hi)
-
-        for k, i in enumerate(self.order):
-            s = self.sets[i]
-            if k:
-                close(lcp[k - 1])
-            if stack[-1][0] < len(s):
-                stack.append([len(s), [i], len(s), len(s), s])
-            else:  # the set ends at an open node
-                stack[-1][1].append(i)
-                stack[-1][2], stack[-1][3] = min(stack[-1][2], len(s)), max(stack[-1][3], len(s))
+    """A prefix tree over ordered sets; edges without branches are one node. Children come before their parent."""
+
+    def __init__(self, members: list[int], sets: list[np.ndarray]):
+        self.edge: list[np.ndarray] = []
+        self.depth: list[int] = []
+        self.low: list[int] = []
+        self.high: list[int] = []
+        self.children: list[list[int]] = []
+        self.leaves: list[list[int]] = []
+        members = sorted(members, key=lambda i: sets[i].tobytes())  # equal beginnings stand together
+        # open nodes from the root to the last set: [depth, children, leaves, smallest size, largest size, a set below]
+        path: list[list] = [[0, [], [], 1 << 60, 0, None]]
+
+        def close(to: int) -> None:
+            """Finish the nodes deeper than `to`; afterwards the last open node is that deep or less."""
+            while path[-1][0] > to:
+                depth, children, leaves, low, high, below = path.pop()
+                if path[-1][0] < to:
+                    path.append([to, [], [], 1 << 60, 0, below])
+                above = path[-1]
+                above[1].append(self._add(below[above[0] : depth], depth, children, leaves, low, high))
+                above[3], above[4] = min(above[3], low), max(above[4], high)
+
+        last = None
+        for i in members:
+            s = sets[i]
+            if last is not None:
+                m = min(len(s), len(last))
+                other = np.flatnonzero(s[:m] != last[:m])
+                close(int(other[0]) if len(other) else m)
+            if path[-1][0] < len(s):
+                path.append([len(s), [], [], 1 << 60, 0, s])
+            top = path[-1]
+            top[2].append(i)
+            top[3], top[4] = min(top[3], len(s)), max(top[4], len(s))
+            last = s
         close(0)
-        top = stack[0]
-        return (np.zeros(0, np.int64), 0, top[2], top[3], top[1])
+        _, children, leaves, low, high, _ = path[0]
+        self._add(np.zeros(0, np.int64), 0, children, leaves, low, high)
+        self._flatten(members, sets)
+
+    def _add(self, edge, depth, children, leaves, low, high) -> int:
+        for column, value in zip(
+            (self.edge, self.depth, self.children, self.leaves, self.low, self.high), (edge, depth, children, leaves, low, high)
+        ):
+            column.append(value)
+        return len(self.edge) - 1
+
+    def _flatten(self, members: list[int], sets: list[np.ndarray]) -> None:
+        """Columns for walks over the whole tree at once: the part of each edge above a depth at
+        which sets that differ too much have shown it, and the tour through the nodes."""
+        limit = self.high[-1] // 8 + 8
+        upper = [e[: max(0, limit - d + len(e))] for e, d in zip(self.edge, self.depth)]
+        self.grams, start, n = _flat(upper, np.int64)
+        self.start, self.end = start, start + n
+        self.upper_depth = np.minimum(self.depth, limit)
+        tour, todo = [], [(len(self.edge) - 1, 1)]
+        while todo:
+            v, sign = todo.pop()
+            tour.append((v, sign))
+            if sign > 0:
+                todo.append((v, -1))
+                todo += [(c, 1) for c in self.children[v]]
+        self.tour, self.sign = np.array(tour).T
+        self.enter = np.empty(len(self.edge), np.int64)
+        self.enter[self.tour[self.sign > 0]] = np.flatnonzero(self.sign > 0)
+        self.leaf = np.array([i for held in self.leaves for i in held])
+        self.node = np.repeat(np.arange(len(self.edge)), [len(held) for held in self.leaves])
+        self.size = np.array([len(sets[i]) for i in self.leaf])
+        self.all_grams, self.set_start, _ = _flat([sets[i] for i in self.leaf], np.int64)
+
+    def near(self, mark: np.ndarray, a: int, open_sets: np.ndarray, percent: int) -> np.ndarray:
+        """Sets, among those of open_sets (a mask), that have their share in common with the marked set of a n-grams.
+
+        The overlap with each path is summed along the tour, once for all sets that
+        share it. With m n-grams of the path missing, a set of size x has x - m in
+        common at most: that leaves subtrees out. The others are counted in full.
+        """
+        total = 100 + percent
+        upto = np.concatenate([[0], np.cumsum(mark[self.grams])])
+        hits = upto[self.end] - upto[self.start]
+        common = np.cumsum(self.sign * hits[self.tour])[self.enter]
+        missing = (self.upper_depth - common)[self.node]
+        left = total * np.minimum(self.size - missing, a) >= percent * (a + self.size)
+        at = np.flatnonzero(left & open_sets[self.leaf])
+        n = self.size[at]
+        upto = np.concatenate([[0], np.cumsum(mark[self.all_grams[_ranges(self.set_start[at], n)]])])
+        ends = np.cumsum(n)
+        return self.leaf[at[total * (upto[ends] - upto[ends - n]) >= percent * (a + n)]]
+
+
+def _flat(rows: list, kind) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All rows in one array, and where each starts and how long it is."""
+    n = np.array([len(r) for r in rows], np.int64)
+    flat = np.concatenate([np.asarray(r, kind) for r in rows]) if len(rows) else np.zeros(0, kind)
+    return flat, np.cumsum(n) - n, n
+
+
+def _ranges(start: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Numbers start .. start + n - 1 of each pair, one after the other."""
+    ends = np.cumsum(n)
+    return np.arange(ends[-1] if len(n) else 0) + np.repeat(start - (ends - n), n)
 
 
 def tree_links(sets: list[np.ndarray], groups: list[int], percent: int) -> list[tuple[int, int]]:
@@ -154,17 +204,20 @@ def tree_links(sets: list[np.ndarray], groups: list[int], percent: int) -> list[
     components as all such pairs would; with two groups, pairs across them only.
 
     The numbers in a set follow one global order: n-grams of many sets first, so that
-    sets share long beginnings. Each set walks down the tree of all sets, carries
-    the overlap with the path, and leaves a subtree as soon as what remains of it
-    and of the sizes below cannot reach the share. Sets that are linked already
-    are not compared again.
+    sets share long beginnings. There is a tree for each size class. Each set
+    walks the trees whose sizes fit, carries the overlap along the paths, and
+    leaves out what cannot reach the share any more or is linked to it already.
     """
     values, count = np.unique(np.concatenate(sets), return_counts=True)
     rank = np.empty(len(values), np.int64)
     rank[np.argsort(-count, kind="stable")] = np.arange(len(values))
     local = [np.sort(rank[np.searchsorted(values, s)]).astype(">i8") for s in sets]
-    root = _Tree(local).nodes()
     across = len(set(groups)) > 1
+    by_class: dict[int, list[int]] = {}
+    for i, s in enumerate(local):
+        if not across or groups[i] != 0:
+            by_class.setdefault(int(np.log(len(s)) / np.log(CLASS)), []).append(i)
+    trees = [_Tree(members, local) for members in by_class.values()]
     parent = list(range(len(sets)))
 
     def find(i):
@@ -175,48 +228,76 @@ def tree_links(sets: list[np.ndarray], groups: list[int], percent: int) -> list[
 
     links = []
     mark = np.zeros(len(values), bool)
-    total = 100 + percent
-    for i, s in enumerate(local):
-        if across and groups[i] != groups[0]:
-            continue
-        a = len(s)
-        mark[s] = True
-        stack = [(root, 0)]
-        while stack:
-            (edge, depth, lo, hi, children), common = stack.pop()
-            if len(edge):
-                common += int(np.count_nonzero(mark[edge]))
-                rest = a - int(np.searchsorted(s, edge[-1], side="right"))
-            else:
-                rest = a
-            best = min(max(depth + rest, lo), hi)
-            if total * (common + min(rest, best - depth)) < percent * (a + best):
+    component = np.arange(len(sets))
+    places = np.arange(len(sets))
+    for done, i in enumerate(i for i in range(len(local)) if not across or groups[i] == 0):
+        if done % 64 == 63:
+            component = np.array([find(x) for x in range(len(sets))])
+        a = len(local[i])
+        mark[local[i]] = True
+        open_sets = component != component[i] if across else (component != component[i]) & (places < i)
+        for tree in trees:
+            if 100 * tree.high[-1] < percent * a or 100 * a < percent * tree.low[-1]:
                 continue
-            for c in children:
-                if isinstance(c, tuple):
-                    stack.append((c, common))
-                elif c != i and (groups[c] != groups[i] if across else c < i):
-                    if total * common >= percent * (a + len(local[c])):
-                        x, y = find(i), find(c)
-                        if x != y:
-                            parent[max(x, y)] = min(x, y)
-                            links.append((i, c))
-        mark[s] = False
+            for c in tree.near(mark, a, open_sets, percent).tolist():
+                x, y = find(i), find(c)
+                if x != y:
+                    parent[max(x, y)] = min(x, y)
+                    links.append((i, c))
+        mark[local[i]] = False
     return links
 
 
+def stars(links: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Links to the smallest id of their component instead."""
+    root: dict[int, int] = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    for a, b in links:
+        x, y = find(a), find(b)
+        root[max(x, y)] = min(x, y)
+    return [(x, find(x)) for x in list(root) if find(x) != x]
+
+
 def _join(n: int, percent: int):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         out = []
         for (_, _, _), part in rows.groupby(["family", "left", "right"], sort=False):
             ids, sides = part["doc_id"].to_numpy(), part["side"].tolist()
             sets = [ngrams(bytes(t), n) for t in part["text"]]
-            out += [(int(ids[i]), int(ids[c])) for i, c in tree_links(sets, sides, percent)]
+            out += stars([(int(ids[i]), int(ids[c])) for i, c in tree_links(sets, sides, percent)])
         return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
 
     return run
 
 
+def _marked(texts: DataFrame, members: DataFrame) -> DataFrame:
+    """texts without most rows whose doc_id is not among members.
+
+    The mark table has a fixed 2**BITS bits (2 MB) whatever the number of
+    members. A full one lets all rows pass, which costs time and no result.
+    """
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << BITS)) + 1
+    marks = members.groupBy(F.bitmap_bucket_number(place).alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("m"))
+    table = np.zeros((1 << BITS) // 8, np.uint8)
+    for r in marks.collect():  # at most 2**BITS / 32768 rows of 4 KB
+        table[(r["b"] - 1) * 4096 : r["b"] * 4096] = np.frombuffer(bytes(r["m"]), np.uint8)
+    sent = texts.sparkSession.sparkContext.broadcast(table)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        bits = sent.value
+        for pdf in batches:
+            at = pdf["at"].to_numpy(np.int64)
+            yield pdf.loc[(bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0, ["doc_id", "text"]].astype({"doc_id": "Int64"})
+
+    return texts.withColumn("at", place - 1).mapInPandas(run, "doc_id long, text binary")
+
+
 def near_classes(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     """doc_id, n_shingles, component_id of every row.
 
@@ -226,10 +307,10 @@ def near_classes(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     doc_id reachable, the row's own for an empty set.
 
     1. Rows with equal sets form a class, represented by its smallest doc_id.
-    2. Linked sets share an n-gram among the first of each in any global order
-       (prefix filter). The order puts n-grams that more than HOT prefixes hold
-       last; the order decides the work, never the result.
-    3. Representatives that share such an n-gram at sizes within the share are
+    2. In any global order of the n-grams, linked sets have two neighbours in
+       common among the first of each (prefix_length). Unlike a single n-gram,
+       two neighbours hardly ever meet by chance or through a shared passage.
+    3. Classes that share such neighbours at sizes within the share are
        candidates. Chains of candidates form families; no link leaves a family.
     4. A family that fits a task is joined in one prefix tree. A larger one is
        cut by size class and hash into blocks, and every two blocks whose sizes
@@ -243,71 +324,50 @@ def near_classes(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     spark = docs.sparkSession
     python_workers(spark)
     texts = docs.select("doc_id", ascii_lower(whole(F.col("text"))).cast("binary").alias("text"))
-    schema = "doc_id long, n long, d1 long, d2 long, first array<long>"
-
-    def prefixes(rows, hot):
-        return rows.mapInPandas(_prefixes(n, percent, hot), schema)
-
-    sets = staged(prefixes(texts, None))
-    known = sets.where("n > 0 AND doc_id IS NOT NULL")
-    classes = staged(known.groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")))
-    reps = classes.select(F.col("rep").alias("doc_id"), "n", "d1", "d2")
-
-    first = staged(known.select("doc_id", "n", "d1", "d2", "first").join(reps, ["doc_id", "n", "d1", "d2"], "left_semi").dropDuplicates(["doc_id", "n", "d1", "d2"]))
-    hot = np.zeros(0, np.uint64)
-    for _ in range(REFINED):
-        grams = first.select(F.explode("first").alias("g")).groupBy("g").agg(F.count("*").alias("c")).where(F.col("c") > HOT)
-        found = grams.orderBy(F.col("c").desc(), "g").limit(HOT_LIST).toPandas()["g"].to_numpy(np.int64).view(np.uint64)
-        if not len(found):
-            break
-        hot = np.union1d(hot, found)
-        again = prefixes(texts, spark.sparkContext.broadcast(hot))
-        first = staged(again.join(reps, ["doc_id", "n", "d1", "d2"], "left_semi").dropDuplicates(["doc_id", "n", "d1", "d2"]))
-
-    # one row per representative set: a doc_id with several texts has several
-    rows = first.select("doc_id", "n", F.xxhash64("doc_id", "n", "d1", "d2").alias("k"), F.explode("first").alias("g"))
-    shared = rows.groupBy("g").agg(F.count("*").alias("c")).where("c > 1").select("g")
-    rows = rows.join(shared, "g")
-    # within an n-gram neighbours by size are candidates of each other if their sizes fit;
-    # sizes in one class fit, so a class is linked through its smallest key
+    schema = "doc_id long, n long, d1 long, d2 long, keys array<long>"
+    sets = staged(texts.mapInPandas(_prefixes(n, percent), schema))
+    classes = sets.where("n > 0 AND doc_id IS NOT NULL").groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("rep"))
+    classes = staged(classes.withColumn("k", F.xxhash64("n", "d1", "d2")))
+    heads = staged(sets.join(classes, ["n", "d1", "d2"]).where("doc_id = rep").select("k", "n", "keys"))
+
     size_class = F.floor(F.log("n") / F.lit(float(np.log(CLASS)))).cast("int")
+    rows = heads.select(F.explode("keys").alias("g"), "k", size_class.cast("short").alias("c"))
+    shared = heads.select(F.explode("keys").alias("g")).groupBy("g").agg(F.count("*").alias("x")).where("x > 1").select("g")
+    # classes of one size class under a key are linked through the smallest, size classes within reach through theirs
     reach = int(np.ceil(np.log(100 / percent) / np.log(CLASS))) + 1
-    cells = staged(rows.groupBy("g", size_class.alias("c")).agg(F.min("k").alias("m"), F.max("k").alias("m2"), F.count("*").alias("held")))
-    inside = rows.withColumn("c", size_class).join(cells.where("held > 1"), ["g", "c"]).where("k <> m").select(F.col("k").alias("a"), F.col("m").alias("b"))
+    rows = staged(rows.join(shared, "g"))
+    cells = staged(rows.groupBy("g", "c").agg(F.min("k").alias("m"), F.max("k").alias("last")))
+    inside = rows.join(cells.where("m <> last"), ["g", "c"]).where("k <> m").select(F.col("k").alias("a"), F.col("m").alias("b"))
     near = cells.select("g", "m", F.explode(F.sequence(F.col("c") + 1, F.col("c") + reach)).alias("c"))
     beside = near.join(cells.select("g", "c", F.col("m").alias("other")), ["g", "c"]).select(F.col("m").alias("a"), F.col("other").alias("b"))
-    families = staged(components(inside.unionByName(beside)))
+    families = staged(components(inside.unionByName(beside).distinct()))
 
-    heads = first.select("doc_id", "n", F.xxhash64("doc_id", "n", "d1", "d2").alias("node"))
-    members = staged(heads.join(families, "node").select("doc_id", "n", F.col("component").alias("family"), size_class.alias("c")))
+    # linked sets are in one coarse size class or in neighbouring ones
+    coarse = F.floor(F.log("n") / F.lit(float(np.log(100 / percent) * 1.001))).cast("int")
+    members = classes.join(families.withColumnRenamed("node", "k"), "k")
+    members = staged(members.select(F.col("rep").alias("doc_id"), "n", F.col("component").alias("family"), coarse.alias("c")))
     weight = members.groupBy("family").agg(F.sum("n").alias("w"))
     # blocks of a family: one if it fits a task, else by size class and hash
     blocks = members.groupBy("family", "c").agg(F.sum("n").alias("cw")).join(weight, "family")
     blocks = blocks.withColumn("cuts", F.ceil(F.col("cw") * 2 / TASK).cast("int")).withColumn("big", F.col("w") > TASK)
     blocks = staged(blocks.select("family", "c", "cuts", "big"))
     placed = members.join(blocks, ["family", "c"])
-    fits = placed.where("NOT big").select("doc_id", "family", F.lit(0).alias("left"), F.lit(0).alias("right"), F.lit(0).alias("side"))
+    fits = placed.where("NOT big").select("doc_id", "family", F.lit(0).cast("long").alias("left"), F.lit(0).cast("long").alias("right"), F.lit(0).alias("side"))
     part = F.pmod(F.xxhash64("doc_id"), F.col("cuts")).cast("int")
-    pieces = placed.where("big").withColumn("block", F.struct("c", part.alias("i")))
+    pieces = placed.where("big").select("doc_id", F.col("family").alias("f"), F.struct("c", part.alias("i")).alias("block"))
     cut = blocks.where("big").withColumn("i", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
-    cut = cut.select("family", "c", F.struct("c", "i").alias("block"))
-    other = cut.withColumn("c", F.explode(F.sequence(F.col("c") - reach, F.col("c") + reach))).withColumnRenamed("block", "with")
-    pairs = cut.join(other, ["family", "c"]).where(F.col("block") <= F.col("with")).select("family", F.col("block").alias("lo"), F.col("with").alias("hi"))
-    pairs = staged(pairs.withColumns({"left": F.xxhash64("lo"), "right": F.xxhash64("hi")}))
-    met = pieces.join(pairs, (pieces["family"] == pairs["family"]) & (pieces["block"] == pairs["lo"])).select(
-        "doc_id", pieces["family"], "left", "right", F.lit(0).alias("side")
-    )
-    met = met.unionByName(
-        pieces.join(pairs.where("lo <> hi"), (pieces["family"] == pairs["family"]) & (pieces["block"] == pairs["hi"])).select(
-            "doc_id", pieces["family"], "left", "right", F.lit(1).alias("side")
-        )
-    )
-    tasks = fits.unionByName(met)
+    cut = cut.select("family", "c", F.struct("c", "i").alias("lo"))
+    other = cut.select("family", F.explode(F.array(F.col("c") - 1, F.col("c"))).alias("c"), F.col("lo").alias("hi"))
+    pairs = cut.join(other, ["family", "c"]).where(F.col("lo") <= F.col("hi"))
+    pairs = staged(pairs.select("family", "lo", "hi", F.xxhash64("lo").alias("left"), F.xxhash64("hi").alias("right")))
+    met = fits
+    for side, end, of in ((0, "lo", pairs), (1, "hi", pairs.where("lo <> hi"))):
+        joined = pieces.join(of, (F.col("f") == F.col("family")) & (F.col("block") == F.col(end)))
+        met = met.unionByName(joined.select("doc_id", "family", "left", "right", F.lit(side).alias("side")))
     n_bins = max(64, int((weight.agg(F.sum("w")).first()[0] or 0) // (TASK // 8)))
-    tasks = tasks.withColumn("bin", F.pmod(F.xxhash64("family", "left", "right"), F.lit(n_bins)))
-    held = texts.join(tasks, "doc_id")
+    tasks = met.withColumn("bin", F.pmod(F.xxhash64("family", "left", "right"), F.lit(n_bins)))
+    held = _marked(texts, members).join(tasks, "doc_id")
     links = held.groupBy("bin").applyInPandas(_join(n, percent), "a long, b long")
-    # rows of one class, and sets of one doc_id, belong together as well
     linked = staged(components(staged(links)))
 
     out = sets.join(classes, ["n", "d1", "d2"], "left")
