@@ -11,8 +11,8 @@ from tradewind.llm.common import documents, hash_part, prefix_sums, word_count
 from tradewind.session import staged
 
 # the fraction is filled in steps; a document may be taken once beyond its whole repetitions in the
-# first four, and further times, if the small documents of the source do not suffice, in the last
-FILLINGS = (1, 1, 1, 1, 2, 2, 3, 3)
+# first three, and further times, if the small documents of the source do not suffice, in the last
+FILLINGS = (1, 1, 1, 2, 3)
 SMALL = 2  # steps after the first take rows of at most half of what is open
 
 
@@ -88,37 +88,35 @@ def mix(docs: DataFrame, size: Column | None = None, weights: Sequence[int] = (5
     open_rows = staged(open_rows)
 
     # each filling leaves a cut of the hash and a bound of the size per source
-    plan = filled.select(F.col("_s").alias("_k"), "source_size", "target", F.col("whole").alias("_whole"), "_sid")
+    cuts = None
     for i, limit in enumerate(FILLINGS):
-        fits = open_rows.where(_may_take(limit, max_epochs))
+        fits = open_rows.where((F.col("_t") < limit) & (F.col("_whole") + F.col("_t") < max_epochs))
         fits = staged(fits.where(F.col("size") <= F.col("_want") / SMALL) if i else fits)
         upto = prefix_sums(fits, ["_sid"], hash_part("_spread"), ["_spread"], {"_upto": "size"}, peers=True)
         upto = upto.where(F.col("_upto") <= F.col("_want")).groupBy("_sid")
         bound = F.first("_want") / SMALL if i else F.max(F.lit(2.0**62))
-        cut = upto.agg(F.max("_spread").alias(f"_cut{i}"), F.max("_upto").alias("_got"), bound.alias(f"_bound{i}"))
-        cut = staged(cut)
-        plan = plan.join(cut.drop("_got"), "_sid", "left")
+        step = F.struct(F.lit(i).alias("i"), F.lit(limit).alias("limit"), F.max("_spread").alias("cut"), bound.alias("bound"))
+        cut = staged(upto.agg(F.max("_upto").alias("_got"), step.alias("_step")))
+        cuts = cut.drop("_got") if cuts is None else cuts.unionByName(cut.drop("_got"))
         left = F.col("_want") - F.coalesce("_got", F.lit(0))
-        open_rows = open_rows.join(cut, "_sid", "left").withColumn("_t", F.col("_t") + _taken(i, limit, max_epochs))
-        open_rows = staged(open_rows.select("_sid", left.alias("_want"), "_whole", "size", "_spread", "_t"))
-    plan = staged(plan.drop("_sid"))
+        again = F.when(F.col("_step").isNotNull() & _inside(F.col("_step"), F.col("_t"), max_epochs), 1).otherwise(0)
+        open_rows = open_rows.join(cut, "_sid", "left")
+        open_rows = staged(open_rows.select("_sid", left.alias("_want"), "_whole", "size", "_spread", (F.col("_t") + again).alias("_t")))
+    steps = cuts.groupBy("_sid").agg(F.array_sort(F.collect_list("_step")).alias("_steps"))
+    plan = filled.select(F.col("_s").alias("_k"), "source_size", "target", F.col("whole").alias("_whole"), "_sid")
+    plan = staged(plan.join(steps, "_sid", "left").drop("_sid"))
 
-    out = rows.join(plan, F.col("source").eqNullSafe(F.col("_k"))).withColumn("_t", F.lit(0))
-    for i, limit in enumerate(FILLINGS):
-        out = out.withColumn("_t", F.col("_t") + _taken(i, limit, max_epochs))
-    times = F.when(F.col("source_size") > 0, F.col("_whole") + F.col("_t")).otherwise(0).cast("long")
+    out = rows.join(plan, F.col("source").eqNullSafe(F.col("_k")))
+    more = F.aggregate("_steps", F.lit(0), lambda t, x: t + F.when(_inside(x, t, max_epochs), 1).otherwise(0))
+    times = F.when(F.col("source_size") > 0, F.col("_whole") + F.coalesce(more, F.lit(0))).otherwise(0).cast("long")
     out = out.withColumn("times", times)
     return out.select(*kept, "size", "source_size", "target", "times", (F.col("size") * F.col("times")).alias("taken"))
 
 
-def _may_take(limit: int, max_epochs: int) -> Column:
-    return (F.col("_t") < limit) & (F.col("_whole") + F.col("_t") < max_epochs)
-
-
-def _taken(i: int, limit: int, max_epochs: int) -> Column:
-    """1 if filling i takes the row once more."""
-    inside = (F.col("_spread") <= F.col(f"_cut{i}")) & (F.col("size") <= F.col(f"_bound{i}"))
-    return F.coalesce(inside & _may_take(limit, max_epochs), F.lit(False)).cast("int")
+def _inside(step: Column, taken: Column, max_epochs: int) -> Column:
+    """Whether a filling takes the row once more, after it was taken so many times beyond the whole repetitions."""
+    fits = (F.col("_spread") <= step["cut"]) & (F.col("size") <= step["bound"])
+    return fits & (taken < step["limit"]) & (F.col("_whole") + taken < max_epochs)
 
 
 def repeat(mixed: DataFrame, columns: Sequence[str]) -> DataFrame:
