@@ -73,57 +73,73 @@ def near_lines(docs: DataFrame) -> DataFrame:
 
     # the words of lines that share a half, from their earliest place
     wanted = staged(alike).select(*CLASS, "at.*").groupBy(*ROW).agg(F.collect_list(F.struct(*CLASS, "no")).alias("wanted"))
-    texts = keyed.select(*ROW, F.split(whole(F.col("text")), "\n").alias("lines")).join(wanted, ROW)
-    found = texts.select(*ROW, "lines", F.explode("wanted").alias("x"))
-    found = found.select(F.col("x.k1").alias("k1"), F.col("x.k2").alias("k2"), F.struct(*ROW, F.col("x.no").alias("no")).alias("at"),
-                         words(F.get("lines", F.col("x.no"))).alias("w"))
+    lines = F.split(whole(F.col("text")), "\n")
+    asked = keyed.select(*ROW, "text").join(wanted, ROW)
+    # only the lines asked for leave the row, not the whole text with each of them
+    picked = F.transform("wanted", lambda x: F.struct(x["k1"].alias("k1"), x["k2"].alias("k2"), x["no"].alias("no"), F.get(F.col("_lines"), x["no"]).alias("line")))
+    picked = asked.withColumn("_lines", lines).select(*ROW, F.explode(picked).alias("x"))
+    found = picked.select("x.k1", "x.k2", F.struct(*ROW, F.col("x.no").alias("no")).alias("at"), F.col("x.line").alias("line"))
     found = staged(found.dropDuplicates(CLASS))
 
     # everything but one of 8 segments must agree as well; only positions in such a segment can differ
-    hashed = found.select(*CLASS, "at", F.transform("w", lambda x: F.xxhash64(x)).alias("w")).withColumn("n", F.size("w"))
+    hashed = found.select(*CLASS, F.transform(words(F.col("line")), lambda x: F.xxhash64(x)).alias("w")).withColumn("n", F.size("w"))
 
-    def outside(m):
+    def outside(m, part):
         def key(s):
             low, high = F.floor(s * m / SEGMENTS).cast("int"), F.floor((s + 1) * m / SEGMENTS).cast("int")
-            return F.struct(
-                F.xxhash64(m, s, _first_words(F.col("w"), low), _last_words(F.col("w"), m - high)).alias("seg"),
-                low.alias("low"), (high + F.col("n") - m).alias("high"), m.alias("m"),
-            )
+            seg = F.xxhash64(m, s, _first_words(F.col("w"), low), _last_words(F.col("w"), m - high))
+            return F.struct(seg.alias("seg"), s.alias("s"), F.lit(part).alias("longer"))
 
         return [key(F.lit(s)) for s in range(SEGMENTS)]
 
     n = F.col("n")
-    segments = F.when(n > MIN_WORDS, F.array(*outside(n), *outside(n - 1))).otherwise(F.array(*outside(n)))
-    segments = hashed.select(*CLASS, "at", "w", "n", F.explode(segments).alias("s")).select(*CLASS, "at", "w", "n", "s.*")
-    segments = staged(segments)
+    segments = F.when(n > MIN_WORDS, F.array(*outside(n, False), *outside(n - 1, True))).otherwise(F.array(*outside(n, False)))
+    segments = hashed.select(*CLASS, F.explode(segments).alias("s")).select(*CLASS, "s.*")
     both = segments.groupBy("seg").agg(F.count("*").alias("c")).where("c > 1").select("seg")
-    open_segments = segments.join(both, "seg")
+    marks = segments.join(both, "seg").groupBy(*CLASS).agg(F.collect_set(F.struct("s", "longer")).alias("open"))
+    found = staged(found.join(marks, CLASS))
+    wide = found.select(*CLASS, "at", "open", F.transform(words(F.col("line")), lambda x: F.xxhash64(x)).alias("w")).withColumn("n", F.size("w"))
 
     # variants: a changed word leaves n - 1 words and its position, an added one leaves the other line.
     # Only the longer line deletes for the latter; the shorter stands for itself.
-    places = F.sequence(F.col("low"), F.greatest(F.col("low"), F.col("high") - 1))
-    changed = open_segments.where("m = n AND high > low").withColumn("i", F.explode(places))
-    changed = changed.select(*CLASS, "at", "i", F.lit(0).alias("kind"), F.xxhash64(F.lit(0), "n", "i", _without(F.col("w"), F.col("i"))).alias("v"))
-    # a word may be added at either edge of a segment
-    places = F.sequence(F.col("low"), F.least(F.col("high"), F.col("n") - 1))
-    longer = open_segments.where("m = n - 1").withColumn("i", F.explode(places))
-    longer = longer.select(*CLASS, "at", "i", F.lit(2).alias("kind"), F.xxhash64(F.lit(1), _without(F.col("w"), F.col("i"))).alias("v"))
-    itself = open_segments.where("m = n").select(*CLASS, "at", F.lit(-1).alias("i"), F.lit(1).alias("kind"), F.xxhash64(F.lit(1), "w").alias("v"))
-    variants = changed.unionByName(longer).unionByName(itself).dropDuplicates(["v", "kind", *CLASS])
+    def emitted(longer: bool, places, variant):
+        """Variants of a line for its open segments, as (at, i, kind, v)."""
+        chosen = F.filter("open", lambda o: o["longer"] == longer)
+        at = F.array_distinct(F.flatten(F.transform(chosen, places)))
+        return F.transform(at, variant)
+
+    def bound(s, m):
+        return F.floor(s * m / SEGMENTS).cast("int")
+
+    def inside(o):
+        return F.filter(F.sequence(bound(o["s"], n), bound(o["s"] + 1, n)), lambda i: i < bound(o["s"] + 1, n))
+
+    def added(o):
+        # a word may be added at either edge of a segment
+        return F.sequence(bound(o["s"], n - 1), bound(o["s"] + 1, n - 1))
+
+    def one(i, kind, v):
+        return F.struct(i.alias("i"), F.lit(kind).alias("kind"), v.alias("v"))
+
+    w = F.col("w")
+    changed = emitted(False, inside, lambda i: one(i, 0, F.xxhash64(F.lit(0), n, i, _without(w, i))))
+    longer = emitted(True, added, lambda i: one(i, 2, F.xxhash64(F.lit(1), _without(w, i))))
+    itself = F.array(one(F.lit(-1), 1, F.xxhash64(F.lit(1), w)))
+    variants = wide.select(*CLASS, "at", F.explode(F.concat(changed, longer, itself)).alias("e")).select(*CLASS, "at", "e.*")
     variants = staged(variants)
 
     # the earliest line of each kind under a key: enough to tell whether a line has an earlier one
-    one = F.struct("at", *CLASS, "i")
+    place = F.struct("at", *CLASS, "i")
     groups = variants.groupBy("v").agg(
-        F.count("*").alias("c"), *[F.min(F.when(F.col("kind") == k, one)).alias(f"e{k}") for k in (0, 1, 2)]
+        F.count("*").alias("c"), *[F.min(F.when(F.col("kind") == k, place)).alias(f"e{k}") for k in (0, 1, 2)]
     ).where("c > 1").drop("c")
     earliest = F.when(F.col("kind") == 0, F.col("e0")).when(F.col("kind") == 1, F.col("e2")).otherwise(F.col("e1"))
     pairs = variants.join(groups, "v").withColumn("e", earliest).where(F.col("e.at") < F.col("at"))
     pairs = pairs.select(*CLASS, "kind", "i", F.col("e.k1").alias("o1"), F.col("e.k2").alias("o2"), F.col("e.i").alias("oi"))
 
     # verified on the words
-    own = found.select(*CLASS, F.col("w").alias("a"))
-    other = found.select(F.col("k1").alias("o1"), F.col("k2").alias("o2"), F.col("w").alias("b"))
+    own = found.select(*CLASS, words(F.col("line")).alias("a"))
+    other = found.select(F.col("k1").alias("o1"), F.col("k2").alias("o2"), words(F.col("line")).alias("b"))
     checked = pairs.join(own, CLASS).join(other, ["o1", "o2"])
     differ = F.size(F.filter(F.zip_with("a", "b", lambda x, y: x.eqNullSafe(y)), lambda same: ~same))
     right = (
