@@ -21,6 +21,7 @@ START = 1  # code of the place before a text (a control character otherwise)
 CHUNK = 24_000_000  # characters of a chunk that is scored together
 PIECE = 1_000_000  # characters that are held as arrays at a time
 UNIFORM = 1.0 / 4096  # probability of a character by no count at all
+TRAINED = 250_000  # trusted documents that the model is trained on at most, chosen by a hash of doc_id
 HELD = 5  # one trusted document in so many is held out of the training and sets the bounds
 HIGH = 0.998  # quantile of held-out trusted text that bounds a class
 SLACK = 0.03  # and what may be missing to it, in nats a character
@@ -146,7 +147,7 @@ def _chunks(batches: Iterator[pd.DataFrame], with_texts: bool) -> Iterator[pd.Da
 
     A chunk is named by a hash of its rows, so a name never stands for other rows.
     """
-    packer = zstandard.ZstdCompressor(level=3)
+    packer = zstandard.ZstdCompressor(level=7)
     rows: list[tuple] = []
     size = 0
 
@@ -238,7 +239,8 @@ def score(docs: DataFrame, model: DataFrame) -> DataFrame:
     python_workers(docs.sparkSession)
     rows = docs.select("doc_id", "key", whole(F.col("text")).alias("text"))
     asked = rows.mapInPandas(lambda it: _chunks(it, False), "chunk long, o int, g long")
-    known = asked.join(model, ["o", "g"], "left").select("chunk", "o", "g", "p", "bow")
+    known = asked.join(model, ["o", "g"], "left").where("o = 0 OR p IS NOT NULL OR bow IS NOT NULL")
+    known = known.select("chunk", "o", "g", F.col("p").cast("float").alias("p"), F.col("bow").cast("float").alias("bow"))
     packed = rows.mapInPandas(lambda it: _chunks(it, True), "chunk long, ids array<long>, keys array<long>, ends binary, blob binary")
     return (
         known.groupBy("chunk")
@@ -250,7 +252,8 @@ def score(docs: DataFrame, model: DataFrame) -> DataFrame:
 def classify(docs: DataFrame, labels: DataFrame, high: float = HIGH, slack: float = SLACK) -> DataFrame:
     """doc_id, key, lang, trusted, n_chars, loss, perplexity, upper, keep of every row of docs.
 
-    The model is trained on four fifths of the texts labelled with quality 1;
+    The model is trained on four fifths of the texts labelled with quality 1, of at
+    most TRAINED labelled documents;
     the others are held out, chosen by a hash of the text, so that the bounds
     hold for text that the model has not seen. Perplexity is per character. Its
     upper bound is a quantile of the held-out documents of the same language and
@@ -270,7 +273,9 @@ def classify(docs: DataFrame, labels: DataFrame, high: float = HIGH, slack: floa
     good = good.withColumn("trusted", F.lit(True))
     marks = docs.select("doc_id", "lang", key.alias("key"), held.alias("held")).dropDuplicates(["key"])
     marks = staged(marks.join(good, "doc_id", "left").withColumn("trusted", F.coalesce("trusted", F.lit(False))))
-    model = staged(train(docs.where(~held).select("doc_id", "text").join(good, "doc_id", "left_semi")))
+    # a bounded sample of the labelled rows, so that no text is shuffled for it
+    sample = good.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAINED)
+    model = staged(train(docs.where(~held).select("doc_id", "text").join(F.broadcast(sample), "doc_id", "left_semi")))
     scored = score(docs.select("doc_id", "text", key.alias("key")), model).drop("doc_id").dropDuplicates(["key"])
     scored = scored.join(marks, "key").withColumn("size", F.floor(F.log2(F.greatest(F.col("n"), F.lit(1)))).cast("int"))
     scored = staged(scored)
