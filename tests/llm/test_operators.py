@@ -242,6 +242,22 @@ def test_classifier_accuracy(spark):
     assert share[1] > 0.95 and share[0] < 0.2
 
 
+def test_training_takes_every_trusted_text(spark, monkeypatch):
+    class Seen(Exception):
+        pass
+
+    def train(trusted):
+        raise Seen(*trusted.agg(F.count("*"), F.count_distinct("doc_id"), F.max(F.col("doc_id") % 3)).first())
+
+    monkeypatch.setattr(quality, "train", train)
+    docs = spark.range(1_000_000).select(F.col("id").alias("doc_id"), F.lit("en").alias("lang"), F.col("id").cast("string").alias("text"))
+    labels = docs.where("doc_id % 3 = 0").select("doc_id", F.lit(1).alias("quality"))
+    held = docs.where("doc_id % 3 = 0").where(F.pmod(F.xxhash64(F.lit(5), "text"), F.lit(quality.HELD)) == 0).count()
+    with pytest.raises(Seen) as seen:
+        quality.classify(docs, labels)
+    assert seen.value.args == (333_334 - held, 333_334 - held, 0)
+
+
 # 6 -----------------------------------------------------------------------------
 
 

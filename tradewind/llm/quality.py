@@ -21,7 +21,7 @@ START = 1  # code of the place before a text (a control character otherwise)
 CHUNK = 24_000_000  # characters of a chunk that is scored together
 PIECE = 1_000_000  # characters that are held as arrays at a time
 UNIFORM = 1.0 / 4096  # probability of a character by no count at all
-TRAINED = 250_000  # trusted documents that the model is trained on at most, chosen by a hash of doc_id
+MARKS = 24  # bits of the hash by which documents that surely aren't trusted are left out before the shuffle
 HELD = 5  # one trusted document in so many is held out of the training and sets the bounds
 HIGH = 0.998  # quantile of held-out trusted text that bounds a class
 SLACK = 0.03  # and what may be missing to it, in nats a character
@@ -249,12 +249,26 @@ def score(docs: DataFrame, model: DataFrame) -> DataFrame:
     )
 
 
+def chosen(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of docs (doc_id, text) whose doc_id is one of ids, without a bound on their number.
+
+    A bitmap of hashed ids, of 2 MB whatever their number, leaves out most other
+    rows where they are read; texts of the rest are shuffled and joined exactly.
+    """
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << MARKS)) + 1
+    bucket, bit = F.bitmap_bucket_number(place), F.bitmap_bit_position(place)
+    maps = ids.groupBy(bucket.alias("_bucket")).agg(F.bitmap_construct_agg(bit).alias("_map"))
+    rows = docs.withColumns({"_b": bucket, "_bit": bit}).join(F.broadcast(maps), F.col("_b") == F.col("_bucket"))
+    byte = F.conv(F.hex(F.substring("_map", (F.col("_bit") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("long")
+    marked = byte.bitwiseAND(F.expr("shiftleft(1L, cast(_bit % 8 AS int))")) != 0
+    return rows.where(marked).select(*docs.columns).join(ids, "doc_id", "left_semi")
+
+
 def classify(docs: DataFrame, labels: DataFrame, high: float = HIGH, slack: float = SLACK) -> DataFrame:
     """doc_id, key, lang, trusted, n_chars, loss, perplexity, upper, keep of every row of docs.
 
-    The model is trained on four fifths of the texts labelled with quality 1, of at
-    most TRAINED labelled documents;
-    the others are held out, chosen by a hash of the text, so that the bounds
+    The model is trained on four fifths of the texts labelled with quality 1; the
+    others are held out, chosen by a hash of the text, so that the bounds
     hold for text that the model has not seen. Perplexity is per character. Its
     upper bound is a quantile of the held-out documents of the same language and
     length (by powers of two), with a small slack; a class with few of them
@@ -273,9 +287,7 @@ def classify(docs: DataFrame, labels: DataFrame, high: float = HIGH, slack: floa
     good = good.withColumn("trusted", F.lit(True))
     marks = docs.select("doc_id", "lang", key.alias("key"), held.alias("held")).dropDuplicates(["key"])
     marks = staged(marks.join(good, "doc_id", "left").withColumn("trusted", F.coalesce("trusted", F.lit(False))))
-    # a bounded sample of the labelled rows, so that no text is shuffled for it
-    sample = good.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAINED)
-    model = staged(train(docs.where(~held).select("doc_id", "text").join(F.broadcast(sample), "doc_id", "left_semi")))
+    model = staged(train(chosen(docs.where(~held).select("doc_id", "text"), good.select("doc_id"))))
     scored = score(docs.select("doc_id", "text", key.alias("key")), model).drop("doc_id").dropDuplicates(["key"])
     scored = scored.join(marks, "key").withColumn("size", F.floor(F.log2(F.greatest(F.col("n"), F.lit(1)))).cast("int"))
     scored = staged(scored)
