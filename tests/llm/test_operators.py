@@ -242,6 +242,30 @@ def test_classifier_accuracy(spark):
     assert share[1] > 0.95 and share[0] < 0.2
 
 
+def test_classifier_recall_by_length(spark):
+    folder = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    found = quality.classify(spark.read.parquet(f"{folder}/documents.parquet"), labels).join(labels, "doc_id")
+    size = F.when(F.col("n_chars") < 256, 0).when(F.col("n_chars") < 1024, 1).when(F.col("n_chars") < 4096, 2).otherwise(3)
+    kept = found.groupBy("quality", size.alias("size")).agg(F.avg(F.col("keep").cast("int")).alias("k"))
+    share = {(r["quality"], r["size"]): r["k"] for r in kept.collect()}
+    assert all(share[1, i] > 0.97 for i in range(4))
+    assert share[0, 0] < 0.35 and all(share[0, i] < 0.05 for i in (1, 2, 3))
+
+
+def test_bounds_lean_on_other_languages(spark):
+    rng = random.Random(4)
+    sure = [(lang, n, 1.5 + rng.gauss(0, 0.05 + 1 / n)) for lang in ("en", "de") for n in rng.choices(range(4, 4000), k=200)]
+    sure += [("xx", 3, 3.0), (None, 500, 1.6)]
+    sure = spark.createDataFrame(sure, "lang string, n long, loss double")
+    asked = spark.createDataFrame([("en", 10), ("en", 3000), ("xx", 3000), (None, 3000), ("new", 3000)], "lang string, n long")
+    got = {(r["lang"], r["n"]): r["bound"] for r in quality.bounds(asked, sure, quality.HIGH).collect()}
+    assert len(got) == 5 and got["en", 10] > got["en", 3000]
+    # one short text does not loosen the bound of its language's long ones
+    assert all(1.55 < b < 2.2 for (lang, n), b in got.items() if n == 3000)
+    assert {r["bound"] for r in quality.bounds(asked, sure.limit(0), quality.HIGH).collect()} == {None}
+
+
 def test_training_takes_every_trusted_text(spark, monkeypatch):
     class Seen(Exception):
         pass

@@ -23,9 +23,10 @@ PIECE = 1_000_000  # characters that are held as arrays at a time
 UNIFORM = 1.0 / 4096  # probability of a character by no count at all
 MARKS = 24  # bits of the hash by which documents that surely aren't trusted are left out before the shuffle
 HELD = 5  # one trusted document in so many is held out of the training and sets the bounds
-HIGH = 0.998  # quantile of held-out trusted text that bounds a class
-SLACK = 0.03  # and what may be missing to it, in nats a character
-FEW = {"l": 15, "ls": 60}  # held-out documents that a language, or a language's length class, needs for a bound of its own
+HIGH = 0.98  # quantile of the held-out trusted text, in spreads above its language's centre, that bounds all text
+LEVEL = 100  # characters of which a document weighs half a long one in its language's centre
+FEW = 2.0  # documents that stand for all languages in the centre and spread of one, and for SPREAD in all
+SPREAD = 0.1  # nats a character of spread where no held-out text says more
 
 
 def codes(text: str) -> np.ndarray:
@@ -264,15 +265,62 @@ def chosen(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return rows.where(marked).select(*docs.columns).join(ids, "doc_id", "left_semi")
 
 
-def classify(docs: DataFrame, labels: DataFrame, high: float = HIGH, slack: float = SLACK) -> DataFrame:
+def bounds(rows: DataFrame, sure: DataFrame, high: float) -> DataFrame:
+    """Add `bound`, the highest loss allowed, to rows (lang, n) by held-out trusted text sure (lang, n, loss).
+
+    One rule for any number of rows: the bound is a language's centre plus t
+    spreads, where the squared spread follows v0 + v1 / n in the length n, times a
+    factor of the language, and t is the quantile `high` of the held-out text, at
+    least 1. Centre and factor of a language with few documents lean towards those
+    of all. Sums by language and a histogram of fixed width are all that is
+    gathered; five sums and the quantile reach the driver. Without sure rows the
+    bound is null.
+    """
+    if not sure.head(1):
+        return rows.withColumn("bound", F.lit(None).cast("double"))
+    weight = F.col("n") / (F.col("n") + LEVEL)
+    mean = sure.agg(F.sum(weight * F.col("loss")) / F.sum(weight)).first()[0]
+    centre = (F.sum(weight * F.col("loss")) + FEW * mean) / (F.sum(weight) + FEW)
+    centres = staged(sure.groupBy(F.col("lang").alias("_lang")).agg(centre.alias("centre")))
+    near = sure.join(centres, F.col("lang").eqNullSafe(F.col("_lang"))).drop("_lang")
+    near = staged(near.withColumn("off", F.col("loss") - F.col("centre")))
+
+    # weighted least squares of the squared distance on 1 and 1 / n
+    x, y = 1 / F.col("n"), F.col("off") ** 2
+    w = 1 / (x + 1 / (3 * LEVEL)) ** 2
+    a, b, c, d, e, count, square = near.agg(*map(F.sum, (w, w * x, w * x * x, w * y, w * x * y)), F.count("*"), F.avg(y)).first()
+    det = a * c - b * b
+    v0, v1 = (square, 0.0) if det <= 1e-9 * a * c else ((c * d - b * e) / det, (a * e - b * d) / det)
+    if v1 < 0:
+        v0, v1 = d / a, 0.0
+    v0 = (max(v0, 0.0) * count + SPREAD**2 * FEW) / (count + FEW)
+    trend = F.lit(v0) + F.lit(v1) / F.greatest(F.col("n"), F.lit(1))
+
+    share = y / trend
+    most = near.agg(F.avg(share)).first()[0]
+    factors = near.groupBy(F.col("lang").alias("_lang")).agg(
+        F.first("centre").alias("centre"), ((F.sum(share) + FEW * most) / (F.count("*") + FEW)).alias("factor")
+    )
+    factors = staged(factors)
+    spread = F.sqrt(F.coalesce("factor", F.lit(most)) * trend)
+    near = near.drop("centre").join(factors, F.col("lang").eqNullSafe(F.col("_lang")))
+    step = F.greatest(F.lit(-100_000), F.least(F.lit(100_000), F.ceil(F.col("off") / spread * 1000)))
+    steps = near.groupBy(step.alias("t")).agg(F.count("*").alias("c"))
+    t = steps.agg(F.percentile("t", F.lit(high), F.col("c"))).first()[0]
+    t = 1.0 if t is None else max(1.0, t / 1000)
+    out = rows.join(factors, F.col("lang").eqNullSafe(F.col("_lang")), "left")
+    out = out.withColumn("bound", F.coalesce("centre", F.lit(mean)) + t * spread)
+    return out.drop("_lang", "centre", "factor")
+
+
+def classify(docs: DataFrame, labels: DataFrame, high: float = HIGH) -> DataFrame:
     """doc_id, key, lang, trusted, n_chars, loss, perplexity, upper, keep of every row of docs.
 
     The model is trained on four fifths of the texts labelled with quality 1; the
     others are held out, chosen by a hash of the text, so that the bounds
     hold for text that the model has not seen. Perplexity is per character. Its
-    upper bound is a quantile of the held-out documents of the same language and
-    length (by powers of two), with a small slack; a class with few of them
-    takes the bound of its language, or of all. Text above the bound is rejected.
+    upper bound is set by `bounds` for the row's language and length. Text above
+    the bound is rejected.
 
     Null text counts as empty; an empty text has perplexity 1 and is kept. Null
     lang is a language of its own. Rows with the same doc_id and text are
@@ -289,20 +337,9 @@ def classify(docs: DataFrame, labels: DataFrame, high: float = HIGH, slack: floa
     marks = staged(marks.join(good, "doc_id", "left").withColumn("trusted", F.coalesce("trusted", F.lit(False))))
     model = staged(train(chosen(docs.where(~held).select("doc_id", "text"), good.select("doc_id"))))
     scored = score(docs.select("doc_id", "text", key.alias("key")), model).drop("doc_id").dropDuplicates(["key"])
-    scored = scored.join(marks, "key").withColumn("size", F.floor(F.log2(F.greatest(F.col("n"), F.lit(1)))).cast("int"))
-    scored = staged(scored)
-
-    sure = scored.where("trusted AND held AND n > 0")
-    row = sure.agg(F.percentile("loss", F.lit(high))).first()
-    bound = F.lit(row[0]).cast("double")
-    out = scored
-    for tag, keys in (("l", ["lang"]), ("ls", ["lang", "size"])):
-        found = sure.groupBy(*keys).agg(F.count("*").alias("c"), F.percentile("loss", F.lit(high)).alias(f"b_{tag}"))
-        found = found.where(F.col("c") >= FEW[tag]).drop("c").withColumnsRenamed({k: f"{k}_{tag}" for k in keys})
-        on = [F.col(k).eqNullSafe(F.col(f"{k}_{tag}")) for k in keys]
-        out = out.join(found, on, "left").drop(*[f"{k}_{tag}" for k in keys])
-        bound = F.coalesce(f"b_{tag}", bound)
-    out = out.withColumns({"upper": F.exp(bound + slack), "perplexity": F.exp("loss")})
+    scored = staged(scored.join(marks, "key"))
+    out = bounds(scored, scored.where("trusted AND held AND n > 0").select("lang", "n", "loss"), high)
+    out = out.withColumns({"upper": F.exp("bound"), "perplexity": F.exp("loss")})
     keep = (F.col("n") == 0) | F.coalesce(F.col("perplexity") <= F.col("upper"), F.lit(True))
     return out.select("doc_id", "key", "lang", "trusted", F.col("n").alias("n_chars"), "loss", "perplexity", "upper", keep.alias("keep"))
 
