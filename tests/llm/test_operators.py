@@ -322,6 +322,18 @@ def test_near_lines_within_one_word(spark):
     assert got == brute.dedup_lines(dict(rows))
 
 
+def test_short_lines_within_one_character(spark):
+    rows = [
+        "Call 555-0134 now", "Call 555-0135 now", "Call  555-01345 now", "Call 555-134 now", "Call 666-0134 now",
+        "今天天气很好我们去公园散步", "今天天气很好我们去公园跑步", "今天天气很好我们去公园散散步", "今天天气不好我们在家看书吧",
+        "a b c d e f g h", "abcdefgh", "abcdefghi", "In.", "On.", "seven77", "seven78", "eight888", "eight889",
+        "one two three four five six seven", "one two three four five six", "𝒳𝒳𝒳𝒳𝒳𝒳𝒳𝒳𝒳", "𝒳𝒳𝒳𝒳𝒳𝒳𝒳𝒳𝒴",
+    ]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    dropped = {r["doc_id"] for r in lines.dedup_lines(df).where("n_dropped > 0").collect()}
+    assert dropped == {1, 2, 3, 6, 7, 11, 17, 21}
+
+
 # 7 -----------------------------------------------------------------------------
 
 

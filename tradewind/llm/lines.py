@@ -1,4 +1,4 @@
-"""Line dedup: exact copies and copies within one word, by a deletion-neighbourhood join."""
+"""Line dedup: exact copies and copies within one word or, in short lines, one character, by a deletion-neighbourhood join."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tradewind.llm.common import documents, whole, words
 from tradewind.session import staged
 
-MIN_WORDS = 8  # shorter lines are only compared exactly
+MIN_WORDS = 8  # shorter lines are compared by characters, those under 8 characters exactly
 SEGMENTS = 8
 CLASS = ["k1", "k2"]
 ROW = ["_d", "_h"]
@@ -25,6 +25,15 @@ def _lines(keyed: DataFrame) -> DataFrame:
     return exploded.select(*ROW, "no", words(F.col("line")).alias("w"))
 
 
+def _tokens(w: Column) -> Column:
+    """What one edit may change of a line of words w: its words, or the characters of a line under MIN_WORDS.
+
+    Characters come behind a blank, so that they are equal to no word.
+    """
+    letters = F.transform(F.split(F.array_join(w, " "), ""), lambda c: F.concat(F.lit(" "), c))
+    return F.when(F.size(w) >= MIN_WORDS, w).otherwise(letters)
+
+
 def _first_words(w: Column, m: Column) -> Column:
     return F.slice(w, F.lit(1), m)
 
@@ -39,20 +48,20 @@ def _without(w: Column, i: Column) -> Column:
 
 
 def _classes(lines: DataFrame) -> DataFrame:
-    """Lines with equal words, their earliest place, and the hashes of their halves.
+    """Lines with equal words, their earliest place, and the hashes of the halves of their tokens.
 
-    Of two lines within one word, of m words the shorter, either the first or
-    the last m/2 words agree. A line can be the shorter (m = n) or the longer
+    Of two lines within one token, of m tokens the shorter, either the first or
+    the last m/2 tokens agree. A line can be the shorter (m = n) or the longer
     one (m = n - 1).
     """
     def halves(m):
         half = F.floor(m / 2).cast("int")
-        return [F.xxhash64(_first_words(F.col("w"), half), m), F.xxhash64(_last_words(F.col("w"), half), m, F.lit(1))]
+        return [F.xxhash64(_first_words(F.col("t"), half), m), F.xxhash64(_last_words(F.col("t"), half), m, F.lit(1))]
 
-    n = F.size("w")
+    n = F.size("t")
     own, shorter = halves(n), halves(n - 1)
     keys = F.when(n > MIN_WORDS, F.array(*own, *shorter)).when(n == MIN_WORDS, F.array(*own))
-    rows = lines.where(n > 0).select(
+    rows = lines.where(F.size("w") > 0).withColumn("t", _tokens(F.col("w"))).select(
         F.xxhash64("w").alias("k1"),
         F.xxhash64(F.lit(1), "w").alias("k2"),
         F.struct(*ROW, "no").alias("at"),
@@ -62,8 +71,9 @@ def _classes(lines: DataFrame) -> DataFrame:
 
 
 def near_lines(docs: DataFrame) -> DataFrame:
-    """Classes (k1, k2) of lines that have an earlier line, by (doc_id, line), within one word: a
-    word changed, added or taken away. Both lines have at least MIN_WORDS words."""
+    """Classes (k1, k2) of lines that have an earlier line, by (doc_id, line), within one token: a
+    word changed, added or taken away, both lines of at least MIN_WORDS words, or a character, both
+    of fewer words and at least MIN_WORDS characters."""
     keyed = _keyed(docs)
     rows = _classes(_lines(keyed)).where("halves IS NOT NULL")
     classes = staged(rows.groupBy(*CLASS).agg(F.min("at").alias("at"), F.first("halves").alias("halves")))
@@ -82,7 +92,7 @@ def near_lines(docs: DataFrame) -> DataFrame:
     found = staged(found.dropDuplicates(CLASS))
 
     # everything but one of 8 segments must agree as well; only positions in such a segment can differ
-    hashed = found.select(*CLASS, F.transform(words(F.col("line")), lambda x: F.xxhash64(x)).alias("w")).withColumn("n", F.size("w"))
+    hashed = found.select(*CLASS, F.transform(_tokens(words(F.col("line"))), lambda x: F.xxhash64(x)).alias("w")).withColumn("n", F.size("w"))
 
     def outside(m, part):
         def key(s):
@@ -98,7 +108,7 @@ def near_lines(docs: DataFrame) -> DataFrame:
     both = segments.groupBy("seg").agg(F.count("*").alias("c")).where("c > 1").select("seg")
     marks = segments.join(both, "seg").groupBy(*CLASS).agg(F.collect_set(F.struct("s", "longer")).alias("open"))
     found = staged(found.join(marks, CLASS))
-    wide = found.select(*CLASS, "at", "open", F.transform(words(F.col("line")), lambda x: F.xxhash64(x)).alias("w")).withColumn("n", F.size("w"))
+    wide = found.select(*CLASS, "at", "open", F.transform(_tokens(words(F.col("line"))), lambda x: F.xxhash64(x)).alias("w")).withColumn("n", F.size("w"))
 
     # variants: a changed word leaves n - 1 words and its position, an added one leaves the other line.
     # Only the longer line deletes for the latter; the shorter stands for itself.
@@ -138,8 +148,8 @@ def near_lines(docs: DataFrame) -> DataFrame:
     pairs = pairs.select(*CLASS, "kind", "i", F.col("e.k1").alias("o1"), F.col("e.k2").alias("o2"), F.col("e.i").alias("oi"))
 
     # verified on the words
-    own = found.select(*CLASS, words(F.col("line")).alias("a"))
-    other = found.select(F.col("k1").alias("o1"), F.col("k2").alias("o2"), words(F.col("line")).alias("b"))
+    own = found.select(*CLASS, _tokens(words(F.col("line"))).alias("a"))
+    other = found.select(F.col("k1").alias("o1"), F.col("k2").alias("o2"), _tokens(words(F.col("line"))).alias("b"))
     checked = pairs.join(own, CLASS).join(other, ["o1", "o2"])
     differ = F.size(F.filter(F.zip_with("a", "b", lambda x, y: x.eqNullSafe(y)), lambda same: ~same))
     right = (
@@ -154,7 +164,8 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     """docs with text freed of repeated lines, and n_lines, n_dropped.
 
     A line is dropped if a line with the same words, or within one word (both of
-    at least 8 words), stands earlier by (doc_id, hash of the text, line). Lines
+    at least 8 words) or one character (both of fewer words and at least 8
+    characters, blanks between words counted once), stands earlier by (doc_id, hash of the text, line). Lines
     without words stay. The other lines keep their order.
 
     Null doc_id comes first; null text counts as empty. Rows with equal doc_id
