@@ -445,6 +445,12 @@ def test_components(spark):
     assert got == {i: 0 for i in range(41)} | {i: 100 for i in (100, 101, 102, 200)}
 
 
+def test_components_that_do_not_settle(spark):
+    chain = spark.createDataFrame([(i, i + 1) for i in range(40)], "a long, b long")
+    with pytest.raises(RuntimeError, match="not settled"):
+        components(chain, rounds=2)
+
+
 # all ---------------------------------------------------------------------------
 
 LABELS = "doc_id long, quality int, toxic int"

@@ -15,6 +15,7 @@ def components(links: DataFrame, rounds: int = 40) -> DataFrame:
     neighbours, then itself and its smaller ones, to its smallest neighbour. The
     number of links never grows and the rounds follow the logarithm of the
     longest path. Only a count and a checksum of the links reach the driver.
+    Links that have not settled after `rounds` are an error, not a result.
     """
     edges = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
     edges, last = staged(edges), None
@@ -31,4 +32,6 @@ def components(links: DataFrame, rounds: int = 40) -> DataFrame:
         if seen == last:
             break
         last = seen
+    else:
+        raise RuntimeError(f"components of the links have not settled after {rounds} rounds")
     return edges.select(F.explode(F.array("a", "b")).alias("node"), F.col("b").alias("component")).distinct()
