@@ -93,6 +93,17 @@ def test_mix(spark, docs, rows):
     assert mixed.columns == docs.columns and mixed.count() == sum(r["times"] for r in got)
 
 
+def test_mix_fills_up_beside_a_long_document(spark):
+    rng = random.Random(5)
+    rows = []
+    for s in range(12):
+        sizes = [40_000] + [int(rng.lognormvariate(4, 1.5)) + 1 for _ in range(250)]
+        rows += [(s * 1000 + i, f"{s:02d}", n, str(s * 1000 + i)) for i, n in enumerate(sizes)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, n long, text string")
+    got = mixing.mix(df, size=F.col("n")).groupBy("source").agg(F.first("target").alias("t"), F.sum("taken").alias("k"))
+    assert all(abs(r["t"] - r["k"]) <= 5 for r in got.collect())
+
+
 def test_water_fill_clamps(spark):
     rows = [("a", 1, 10), ("b", 5, 10), ("c", 1, 1000)]
     got = mixing.water_fill(spark.createDataFrame(rows, "s string, weight long, source_size long"), 3).collect()
