@@ -368,16 +368,11 @@ def test_length_histogram(spark, docs, rows):
 
 
 def brute_top(vectors, k=5):
-    m = {}
-    for i, e in vectors:
-        if i is None or e is None or any(x is None or not math.isfinite(x) for x in e):
-            continue
-        v = [math.floor(256 * x) for x in e]
-        m[i] = min(v, m.get(i, v))
+    rows = [(i, [math.floor(256 * x) for x in e]) for i, e in vectors if i is not None and e and all(x is not None and math.isfinite(x) for x in e)]
     out = []
-    for q in m:
+    for n, (q, v) in enumerate(rows):
         if q % 50 == 0:
-            scored = sorted((-sum(a * b for a, b in zip(m[q], m[o])), o) for o in m if o != q and len(m[o]) == len(m[q]))
+            scored = sorted((-sum(a * b for a, b in zip(v, w)), o) for m, (o, w) in enumerate(rows) if m != n and len(w) == len(v))
             out += [(q, r + 1, o, -s) for r, (s, o) in enumerate(scored[:k])]
     return sorted(out)
 
@@ -389,12 +384,19 @@ def test_top_k(spark, monkeypatch):
     vectors = [(i, [float(x) for x in rng.normal(size=6).astype(np.float32)]) for i in range(400)]
     vectors += [(i, [0.5] * 6) for i in range(400, 600)]  # ties
     vectors += [(700, None), (750, [1.0, None]), (None, [0.5] * 6), (800, [float("nan")] * 6), (850, [float("inf")] * 6)]
-    vectors += [(900, []), (950, [1.0, 2.0]), (951, [1.0, -2.0]), (400, [0.5] * 6), (400, [0.25] * 6)]
+    vectors += [(900, []), (950, [1.0, 2.0]), (951, [1.0, -2.0]), (400, [0.5] * 6), (400, [0.25] * 6), (401, [9.0] * 6), (50, [1.5] * 6)]
     df = spark.createDataFrame(vectors, "vec_id long, embedding array<float>").repartition(3)
     got = topk.top_k(df.withColumn("score", F.lit(1)), F.col("vec_id") % 50 == 0)
     assert sorted(tuple(r) for r in got.collect()) == brute_top(vectors)
 
 
+def test_top_k_of_huge_values(spark):
+    df = spark.createDataFrame([(0, [3e30, 1.0]), (1, [3e30, 2.0]), (2, [-3e30, 1.0]), (3, [1.0, 1.0])], "vec_id long, embedding array<float>")
+    got = [(r["rank"], r["vec_id"], r["score"]) for r in topk.top_k(df, F.col("vec_id") == 0).orderBy("rank").collect()]
+    far = 2**63 - 1
+    assert got == [(1, 1, far), (2, 3, far), (3, 2, -far)]
+
+
 # 9 -----------------------------------------------------------------------------
 
 

@@ -2,156 +2,158 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradewind.llm.common import python_workers
+from tradewind.llm.vectors import LONG, blocks, matrix, numbers, quantised
 from tradewind.session import staged
 
-ROWS, QUERY_ROWS = 1024, 256  # vectors of a block
+ROWS, QUERY_ROWS = 2048, 256  # vectors of a block
+PLACE = 16  # bits of a row's place in its block
 BINS = 512
 EXACT = 2**52  # sums below this are exact as doubles
-LONG = 2**63 - 1
-
-
-def quantised(vectors: DataFrame) -> DataFrame:
-    """vec_id, v = floor(256 * x) of each component, dim. Vectors without id, null, or with a
-    null or non-finite component are left out."""
-    bad = F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    kept = vectors.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & ~F.coalesce(bad, F.lit(True)))
-    v = F.transform("embedding", lambda x: F.floor(x.cast("double") * 256))
-    return kept.select("vec_id", v.alias("v"), F.size("embedding").alias("dim"))
-
-
-def _blocks(rows: DataFrame, number: str, per_block: int) -> tuple[DataFrame, int]:
-    """Pack vectors into blocks of about per_block by a hash of their id: (dim, number, ids, matrix).
-    Of rows with one id the smallest vector stays."""
-    count = max(1, -(-rows.count() // per_block))
-    block = F.pmod(F.xxhash64("vec_id"), F.lit(count)).cast("int")
-
-    def pack(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.assign(v=[tuple(v) for v in rows["v"]]).sort_values(["vec_id", "v"]).drop_duplicates("vec_id")
-        matrix = np.array([list(v) for v in rows["v"]], dtype=np.int64).reshape(len(rows), int(key[0]))
-        ids = rows["vec_id"].to_numpy(np.int64)
-        return pd.DataFrame([[int(key[0]), int(key[1]), ids.tobytes(), matrix.tobytes()]], columns=["dim", "block", "ids", "m"])
-
-    packed = rows.withColumn("block", block).groupBy("dim", "block").applyInPandas(pack, "dim int, block int, ids binary, m binary")
-    return staged(packed.withColumnRenamed("block", number)), count
-
-
-def _scores(row, exact: bool):
-    ids, own = (np.frombuffer(row[c], np.int64) for c in ("ids", "q_ids"))
-    dim = int(row["dim"])
-    d, q = np.frombuffer(row["m"], np.int64).reshape(-1, dim), np.frombuffer(row["q_m"], np.int64).reshape(-1, dim)
-    if exact:
-        s = np.rint(q.astype(np.float64) @ d.T.astype(np.float64)).astype(np.int64)
-    else:
-        s = np.clip(q.astype(object) @ d.T.astype(object), -LONG, LONG)
-    return ids, own, s, own[:, None] == ids[None, :]
 
 
-def _count(k: int, width: int, exact: bool):
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
+def _query_blocks(data: DataFrame, stored: str, per_block: int) -> DataFrame:
+    """The queries among packed vectors, packed again where they lie: (dim, qb, q, q_ids, q_m).
+    q numbers a query by its block and place; ids may repeat."""
+
+    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: dict[int, list] = {}
+
+        def flush(least: int) -> pd.DataFrame:
+            out = []
+            for dim, rows in held.items():
+                while len(rows) >= least:
+                    cut, rows[:] = rows[:per_block], rows[per_block:]
+                    q, ids, m = ([r[i] for r in cut] for i in range(3))
+                    out.append((dim, q[0], q, ids, b"".join(m)))
+                    if not rows:
+                        break
+            return pd.DataFrame(out, columns=["dim", "qb", "q", "q_ids", "q_m"])
+
+        for rows in batches:
+            for row in rows.itertuples():
+                at = np.flatnonzero(np.asarray(row.flags, bool))
+                m, ids = np.frombuffer(row.m, stored).reshape(-1, row.dim), np.asarray(row.ids)
+                held.setdefault(row.dim, []).extend(((row.block << PLACE) + int(j), int(ids[j]), m[j].tobytes()) for j in at)
+            yield flush(per_block)
+        held = {d: r for d, r in held.items() if r}
+        yield flush(1)
+
+    return staged(data.mapInPandas(pack, "dim int, qb long, q array<long>, q_ids array<long>, q_m binary"))
+
+
+def _tiles(batches: Iterator[pd.DataFrame], stored: str, exact: bool):
+    """For every pair of blocks: ids of the data, (q, id, state) of the queries still asked, their scores,
+    and the place of each query's own row in the block, if it lies there."""
+    for rows in batches:
+        for row in rows.itertuples():
+            state = {x["q"]: x for x in row.state}
+            at = [i for i, q in enumerate(row.q) if q in state]
+            d, q = (matrix(m, stored, row.dim, exact) for m in (row.m, row.q_m))
+            if exact:
+                s = np.rint(q[at].astype(np.float64) @ d.T.astype(np.float64)).astype(np.int64)
+            else:
+                s = np.clip(q[at] @ d.T, -LONG, LONG).astype(np.int64)
+            for j, i in enumerate(at):
+                own = int(row.q[i])
+                scores, ids = s[j], np.asarray(row.ids, np.int64)
+                if own >> PLACE == row.block:
+                    keep = np.arange(len(ids)) != own & (1 << PLACE) - 1
+                    scores, ids = scores[keep], ids[keep]
+                yield own, int(row.q_ids[i]), state[own], ids, scores
+
+
+def _count(k: int, width: int, stored: str, exact: bool):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Histogram of a tile's scores inside each query's range. Bins below the tile's own
         kth score cannot hold the global one and are not sent."""
-        out = []
-        for _, row in rows.iterrows():
-            _, own, s, same = _scores(row, exact)
-            lo = {x["q_id"]: x["lo"] for x in row["state"]}
-            for j, q in enumerate(own.tolist()):
-                if q not in lo:
-                    continue
-                b = (s[j][~same[j]] - lo[q]) // width
-                b = b[(b >= 0) & (b < BINS)].astype(np.int64)
-                if not len(b):
-                    continue
-                if len(b) > k:
-                    b = b[b >= np.partition(b, len(b) - k)[len(b) - k]]
-                bins, n = np.unique(b, return_counts=True)
-                out += [(q, int(x), int(y)) for x, y in zip(bins, n)]
-        return pd.DataFrame(out, columns=["q_id", "bin", "n"])
+        for q, _, state, _, scores in _tiles(batches, stored, exact):
+            # differences may leave a long
+            b = ((scores.astype(object) if not exact else scores) - int(state["lo"])) // width
+            b = b[(b >= 0) & (b < BINS)].astype(np.int64)
+            if len(b) > k:
+                b = b[b >= np.partition(b, len(b) - k)[len(b) - k]]
+            bins, n = np.unique(b, return_counts=True)
+            yield pd.DataFrame({"q": q, "bin": bins.astype(np.int32), "n": n})
 
     return run
 
 
-def _pick(exact: bool):
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
+def _pick(stored: str, exact: bool):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Scores above the kth of each query and, of those equal to it, as many as are due by smallest id."""
-        out = []
-        for _, row in rows.iterrows():
-            ids, own, s, same = _scores(row, exact)
-            state = {x["q_id"]: (x["lo"], x["need"]) for x in row["state"]}
-            for j, q in enumerate(own.tolist()):
-                if q not in state:
-                    continue
-                kth, ties = state[q]
-                free = ~same[j]
-                above = np.flatnonzero(free & (s[j] > kth))
-                equal = np.flatnonzero(free & (s[j] == kth))
-                equal = equal[np.argsort(ids[equal], kind="stable")[:ties]]
-                out += [(q, int(ids[i]), int(s[j][i])) for i in np.concatenate([above, equal])]
-        return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
+        for q, q_id, state, ids, scores in _tiles(batches, stored, exact):
+            above = np.flatnonzero(scores > state["lo"])
+            equal = np.flatnonzero(scores == state["lo"])
+            equal = equal[np.argsort(ids[equal], kind="stable")[: state["need"]]]
+            best = np.concatenate([above, equal])
+            yield pd.DataFrame({"q": q, "query_id": q_id, "vec_id": ids[best], "score": scores[best]})
 
     return run
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
     """query_id, rank, vec_id, score: the k largest integer inner products of every query with
-    all vectors but its own, ties to the smaller vec_id; all, if there are fewer.
+    all rows but its own, ties to the smaller vec_id; all, if there are fewer.
 
-    Vectors and queries are packed into blocks; each tile (block by block) is
-    scored in a task. Every round counts the scores of a query's current range
-    in 512 bins, over all tiles, and narrows the range to the bin of the kth
+    Vectors are packed into blocks where they are read and stay there; blocks of
+    queries are sent to them. Every round counts the scores of a query's current
+    range in 512 bins, over all blocks, and narrows the range to the bin of the kth
     score, until a bin is one value. The last pass filters by that value.
-    Nothing but the largest norm reaches the driver.
+    Only row count, largest component and dimension reach the driver.
 
-    Vectors without id, null, or with null or non-finite components take no
-    part; of rows with one vec_id the smallest vector does. Vectors of different
+    Vectors without id, null, empty, or with null or non-finite components take no
+    part. Rows that share an id all take part: each is a candidate of the others
+    and, where `is_query` holds, a query of its own. Vectors of different
     length are not compared. Scores beyond a long are cut to its range. No
     vectors or no queries give no rows. Other columns are not carried.
     """
-    python_workers(vectors.sparkSession)
-    rows = staged(quantised(vectors))
-    norm = F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
-    most = min(LONG, int((rows.agg(F.max(norm)).first()[0] or 0.0) * (1 + 2**-40)) + 1)
-    exact = most < EXACT
-    data, _ = _blocks(rows, "block", ROWS)
-    asked, n_asked = _blocks(rows.where(is_query), "qb", QUERY_ROWS)
-    asked = asked.withColumnsRenamed({"ids": "q_ids", "m": "q_m"})
-    data = data.withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(n_asked - 1))))
-
-    state = rows.where(is_query).select("dim", F.col("vec_id").alias("q_id")).distinct()
-    state = state.withColumn("qb", F.pmod(F.xxhash64("q_id"), F.lit(n_asked)).cast("int"))
-    state = staged(state.withColumns({"lo": F.lit(-most).cast("long"), "need": F.lit(k).cast("long")}))
+    rows = quantised(vectors, is_query).where("vec_id IS NOT NULL")
+    scale = numbers(rows)
+    most = min(LONG, scale.norm + 1)
+    exact = scale.norm < EXACT
+    data = blocks(rows, scale, ROWS)
+    asked = _query_blocks(data, scale.stored, QUERY_ROWS)
+    # about one block of data in a cell
+    cells = max(1, -(-scale.rows // ROWS))
+    data = data.select("dim", "block", "ids", "m", F.pmod(F.xxhash64("block"), F.lit(cells)).alias("cell"))
+
+    state = asked.select("dim", "qb", F.explode("q").alias("q"))
+    state = state.withColumns({"lo": F.lit(-most).cast("long"), "need": F.lit(k).cast("long")})
     passes = 1
     while BINS**passes < 2 * most + 1:
         passes += 1
 
     def tiles(state):
-        held = state.groupBy("dim", "qb").agg(F.collect_list(F.struct("q_id", "lo", "need")).alias("state"))
-        return data.join(asked.join(held, ["dim", "qb"]), ["dim", "qb"]).groupBy("dim", "qb", "block")
+        held = state.groupBy("dim", "qb").agg(F.collect_list(F.struct("q", "lo", "need")).alias("state"))
+        sent = asked.join(held, ["dim", "qb"]).withColumn("cell", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(cells - 1).cast("long"))))
+        return data.join(sent, ["dim", "cell"]).select("dim", "block", "ids", "m", "q", "q_ids", "q_m", "state")
 
     for p in reversed(range(passes)):
         width = BINS**p
-        counts = tiles(state).applyInPandas(_count(k, width, exact), "q_id long, bin int, n long")
-        counts = counts.groupBy("q_id", "bin").agg(F.sum("n").alias("n"))
-        from_top = Window.partitionBy("q_id").orderBy(F.col("bin").desc())
+        counts = tiles(state).mapInPandas(_count(k, width, scale.stored, exact), "q long, bin int, n long")
+        counts = counts.groupBy("q", "bin").agg(F.sum("n").alias("n"))
+        from_top = Window.partitionBy("q").orderBy(F.col("bin").desc())
         upto = F.sum("n").over(from_top)
-        counts = counts.withColumns({"upto": upto, "all": F.sum("n").over(Window.partitionBy("q_id"))})
-        joined = counts.join(state, "q_id").withColumn("need", F.least("need", "all"))
+        counts = counts.withColumns({"upto": upto, "all": F.sum("n").over(Window.partitionBy("q"))})
+        joined = counts.join(state, "q").withColumn("need", F.least("need", "all"))
         found = joined.where((F.col("upto") >= F.col("need")) & (F.col("upto") - F.col("n") < F.col("need")))
         state = staged(
             found.select(
-                "dim", "q_id", "qb",
+                "dim", "qb", "q",
                 (F.col("lo") + F.col("bin") * F.lit(width).cast("long")).alias("lo"),
                 (F.col("need") - (F.col("upto") - F.col("n"))).alias("need"),
             )
         )
 
-    best = tiles(state).applyInPandas(_pick(exact), "query_id long, vec_id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    best = tiles(state).mapInPandas(_pick(scale.stored, exact), "q long, query_id long, vec_id long, score long")
+    order = Window.partitionBy("q").orderBy(F.col("score").desc(), "vec_id")
     ranked = best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
 
