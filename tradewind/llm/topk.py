@@ -15,6 +15,7 @@ from tradewind.session import staged
 ROWS, QUERY_ROWS = 2048, 256  # vectors of a block
 PLACE = 16  # bits of a row's place in its block
 BINS = 512
+WIDE = "decimal(25,0)"  # the width of a bin may be just beyond a long
 EXACT = 2**52  # sums below this are exact as doubles
 
 
@@ -147,7 +148,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
         state = staged(
             found.select(
                 "dim", "qb", "q",
-                (F.col("lo") + F.col("bin") * F.lit(width).cast("long")).alias("lo"),
+                (F.col("lo").cast(WIDE) + F.col("bin") * F.lit(str(width)).cast(WIDE)).cast("long").alias("lo"),
                 (F.col("need") - (F.col("upto") - F.col("n"))).alias("need"),
             )
         )
