@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from tradewind.llm.bpe import op9_bpe
 from tradewind.llm.chat import op4_chat_windows
+from tradewind.llm.clustering import OP13_SQL, op13_centroids
 from tradewind.llm.fingerprints import op2_imatch
 from tradewind.llm.jaccard import op10_jaccard_classes
 from tradewind.llm.lengths import op7_length_histogram
 from tradewind.llm.lines import op6_line_dedup
+from tradewind.llm.middle import OP11_SQL, op11_fill_in_middle
 from tradewind.llm.mixing import op1_mix_sources
 from tradewind.llm.quality import op5_quality
 from tradewind.llm.sharding import op3_balanced_shards
@@ -24,5 +26,7 @@ QUERIES = {
     "op8_top_k": op8_top_k,
     "op9_bpe": op9_bpe,
     "op10_jaccard_classes": op10_jaccard_classes,
+    "op11_fill_in_middle": op11_fill_in_middle,
+    "op13_centroids": op13_centroids,
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op11_fill_in_middle": OP11_SQL, "op13_centroids": OP13_SQL}
