@@ -14,6 +14,7 @@ from tradewind.llm.mixing import op1_mix_sources
 from tradewind.llm.quality import op5_quality
 from tradewind.llm.sharding import op3_balanced_shards
 from tradewind.llm.topk import op8_top_k
+from tradewind.llm.toxicity import op12_toxicity
 
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_bpe": op9_bpe,
     "op10_jaccard_classes": op10_jaccard_classes,
     "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_toxicity": op12_toxicity,
     "op13_centroids": op13_centroids,
 }
 SQL: dict[str, str] = {"op11_fill_in_middle": OP11_SQL, "op13_centroids": OP13_SQL}
