@@ -49,52 +49,59 @@ def _query_blocks(data: DataFrame, stored: str, per_block: int) -> DataFrame:
     return staged(data.mapInPandas(pack, "dim int, qb long, q array<long>, q_ids array<long>, q_m binary"))
 
 
-def _tiles(batches: Iterator[pd.DataFrame], stored: str, exact: bool):
-    """For every pair of blocks: ids of the data, (q, id, state) of the queries still asked, their scores,
-    and the place of each query's own row in the block, if it lies there."""
-    for rows in batches:
-        for row in rows.itertuples():
-            state = {x["q"]: x for x in row.state}
-            at = [i for i, q in enumerate(row.q) if q in state]
-            d, q = (matrix(m, stored, row.dim, exact) for m in (row.m, row.q_m))
-            if exact:
-                s = np.rint(q[at].astype(np.float64) @ d.T.astype(np.float64)).astype(np.int64)
-            else:
-                s = np.clip(q[at] @ d.T, -LONG, LONG).astype(np.int64)
-            for j, i in enumerate(at):
-                own = int(row.q[i])
-                scores, ids = s[j], np.asarray(row.ids, np.int64)
-                if own >> PLACE == row.block:
-                    keep = np.arange(len(ids)) != own & (1 << PLACE) - 1
-                    scores, ids = scores[keep], ids[keep]
-                yield own, int(row.q_ids[i]), state[own], ids, scores
+def _tiles(rows: pd.DataFrame, k: int, stored: str, exact: bool):
+    """Of every pair of blocks, the scores that are among the tile's own k highest of a query (ties included):
+    no other can be among the global ones. Yields the query's numbers and ids, its state, and
+    (place of the query, place of the data row, score) of each, with the ids of the data rows."""
+    for row in rows.itertuples():
+        state = {x["q"]: x for x in row.state}
+        at = [i for i, q in enumerate(row.q) if q in state]
+        d, q = (matrix(m, stored, row.dim, exact) for m in (row.m, row.q_m))
+        if exact:
+            s = np.rint(q[at].astype(np.float64) @ d.T.astype(np.float64)).astype(np.int64)
+        else:
+            s = np.clip(q[at] @ d.T, -LONG, LONG).astype(np.int64)
+        own = np.asarray(row.q, np.int64)[at]
+        home = np.flatnonzero(own >> PLACE == row.block)
+        free = np.ones(s.shape, bool)
+        free[home, own[home] & (1 << PLACE) - 1] = False
+        if s.shape[1] > k:
+            # a query's own row takes the lowest score: one more is kept where it lies
+            least = np.partition(np.where(free, s, -LONG), s.shape[1] - k, axis=1)[:, s.shape[1] - k]
+            free &= s >= least[:, None]
+        i, j = np.nonzero(free)
+        lo, need = (np.array([state[x][c] for x in own.tolist()], np.int64) for c in ("lo", "need"))
+        yield own, np.asarray(row.q_ids, np.int64)[at], lo, need, i, np.asarray(row.ids, np.int64)[j], s[i, j]
 
 
 def _count(k: int, width: int, stored: str, exact: bool):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Histogram of a tile's scores inside each query's range. Bins below the tile's own
-        kth score cannot hold the global one and are not sent."""
-        for q, _, state, _, scores in _tiles(batches, stored, exact):
-            # differences may leave a long
-            b = ((scores.astype(object) if not exact else scores) - int(state["lo"])) // width
-            b = b[(b >= 0) & (b < BINS)].astype(np.int64)
-            if len(b) > k:
-                b = b[b >= np.partition(b, len(b) - k)[len(b) - k]]
-            bins, n = np.unique(b, return_counts=True)
-            yield pd.DataFrame({"q": q, "bin": bins.astype(np.int32), "n": n})
+        """Histogram of each query's scores inside its range."""
+        for rows in batches:
+            found = []
+            for own, _, lo, _, i, _, s in _tiles(rows, k, stored, exact):
+                far = (s - lo[i]) if exact else (s.astype(object) - lo[i])  # differences may leave a long
+                b = far // width
+                inside = np.asarray((b >= 0) & (b < BINS), bool)
+                found.append(pd.DataFrame({"q": own[i][inside], "bin": b[inside].astype(np.int32)}))
+            if found:
+                yield pd.concat(found).groupby(["q", "bin"]).size().rename("n").reset_index()
 
     return run
 
 
-def _pick(stored: str, exact: bool):
+def _pick(k: int, stored: str, exact: bool):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Scores above the kth of each query and, of those equal to it, as many as are due by smallest id."""
-        for q, q_id, state, ids, scores in _tiles(batches, stored, exact):
-            above = np.flatnonzero(scores > state["lo"])
-            equal = np.flatnonzero(scores == state["lo"])
-            equal = equal[np.argsort(ids[equal], kind="stable")[: state["need"]]]
-            best = np.concatenate([above, equal])
-            yield pd.DataFrame({"q": q, "query_id": q_id, "vec_id": ids[best], "score": scores[best]})
+        for rows in batches:
+            found = []
+            for own, q_ids, lo, need, i, ids, s in _tiles(rows, k, stored, exact):
+                best = pd.DataFrame({"q": own[i], "query_id": q_ids[i], "vec_id": ids, "score": s, "lo": lo[i], "need": need[i]})
+                best = best[best["score"] >= best["lo"]].sort_values(["q", "score", "vec_id"], ascending=[True, False, True])
+                place = best.groupby(["q", "score"]).cumcount()
+                found.append(best[(best["score"] > best["lo"]) | (place < best["need"])])
+            if found:
+                yield pd.concat(found)[["q", "query_id", "vec_id", "score"]]
 
     return run
 
@@ -117,7 +124,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
     """
     rows = quantised(vectors, is_query).where("vec_id IS NOT NULL")
     scale = numbers(rows)
-    most = min(LONG, scale.norm + 1)
+    most = min(LONG, scale.norm)
     exact = scale.norm < EXACT
     data = blocks(rows, scale, ROWS)
     asked = _query_blocks(data, scale.stored, QUERY_ROWS)
@@ -153,7 +160,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
             )
         )
 
-    best = tiles(state).mapInPandas(_pick(scale.stored, exact), "q long, query_id long, vec_id long, score long")
+    best = tiles(state).mapInPandas(_pick(k, scale.stored, exact), "q long, query_id long, vec_id long, score long")
     order = Window.partitionBy("q").orderBy(F.col("score").desc(), "vec_id")
     ranked = best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

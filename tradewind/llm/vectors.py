@@ -35,23 +35,20 @@ class Numbers:
     rows: int
     largest: int  # of the absolute values
     dim: int
+    norm: int  # no inner product is larger
 
     @property
     def stored(self) -> str:
         return next(t for t, most in (("<i2", 2**15 - 1), ("<i4", 2**31 - 1), ("<i8", LONG)) if self.largest <= most)
 
-    @property
-    def norm(self) -> int:
-        """No inner product is larger."""
-        return self.dim * self.largest**2
-
 
 def numbers(rows: DataFrame) -> Numbers:
-    """Row count, largest component and largest dimension: three values reach the driver."""
+    """Row count, largest component, dimension and norm: four values reach the driver."""
     # the one value without a positive counterpart counts as one less
     highest = F.array_max(F.transform("v", lambda x: F.abs(F.greatest(x, F.lit(-LONG)))))
-    n, largest, dim = rows.agg(F.count("*"), F.max(highest), F.max("dim")).first()
-    return Numbers(n, largest or 0, dim or 0)
+    norm = F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
+    n, largest, dim, most = rows.agg(F.count("*"), F.max(highest), F.max("dim"), F.max(norm)).first()
+    return Numbers(n, largest or 0, dim or 0, int((most or 0.0) * (1 + 2**-40)) + 1)
 
 
 def blocks(rows: DataFrame, scale: Numbers, per_block: int, width: int | None = None) -> DataFrame:
