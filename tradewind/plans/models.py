@@ -13,12 +13,11 @@ from multiprocessing.pool import ThreadPool
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline
-from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, ClusteringEvaluator, RegressionEvaluator
 from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
@@ -31,6 +30,7 @@ from tradewind.functions.numbers import (
     satisfaction,
     segment_name,
 )
+from tradewind.operators.boosting import Boosted, Settings, boost
 from tradewind.operators.ranking import average_rank
 from tradewind.operators.summaries import in_stratified_test_set, in_test_set
 from tradewind.plans import features
@@ -239,6 +239,33 @@ def _classified(data: DataFrame, key: str, label: str, learner, weight: Column,
     return Fitted(scored, metrics, model, data)
 
 
+def _kept(df: DataFrame) -> DataFrame:
+    """Keep a frame that is cut into bins, packed and scored; nothing depends on how it is partitioned."""
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def _boosted_classes(data: DataFrame, n_features: int, key: str, label: str, settings: Settings, name: str) -> Fitted:
+    """Boosted trees on four fifths of each class, the rarer one weighted up; report on the rest, score all."""
+    known = data.where(F.col(label).isNotNull())
+    tested = in_stratified_test_set(known, key, label)
+    train = known.where(~tested).withColumn("_weight", rare_class_weight(data, label))
+    model = boost(train, F.col("features"), n_features, key, label, settings, True, "_weight")
+    scored = model.score(data, F.col("features"), name)
+    metrics = binary_report(scored.where(F.col(label).isNotNull() & tested), label, name)
+    return Fitted(scored, metrics, model, data)
+
+
+def _boosted_values(data: DataFrame, n_features: int, key: str, label: str, settings: Settings) -> tuple[Boosted, DataFrame, dict]:
+    """Boosted regression on four fifths of the keys: model, all rows with `prediction`, hold-out figures."""
+    model = boost(data.where(~in_test_set(key)), F.col("features"), n_features, key, label, settings, False)
+    scored = model.score(data, F.col("features"), "prediction")
+    return model, scored, regression_report(scored.where(in_test_set(key)), label, "prediction")
+
+
+def _array(columns: Sequence[str]) -> Column:
+    return F.array(*[F.col(c).cast("double") for c in columns]).alias("features")
+
+
 def churn_risk(
     done: DataFrame, anchor: str = vocab.ANCHOR_DATE, trees: int = 200, depth: int = 8
 ) -> Fitted:
@@ -259,12 +286,12 @@ def churn_risk(
 def delay_risk(done: DataFrame, rounds: int = 300, depth: int = 6, rate: float = 0.05) -> Fitted:
     """Boosted trees on what is known at dispatch."""
     raw = features.delay(done)
-    encoder, bins = label_pipeline(raw, features.DELAY_NUMBERS, features.DELAY_LABELS)
-    data = _held(encoder.transform(raw).select("order_id", "is_late", "features"), "order_id")
-    learner = GBTClassifier(
-        maxIter=rounds, maxDepth=depth, stepSize=rate, subsamplingRate=0.8, featureSubsetStrategy="0.8", maxBins=bins, seed=SEED
-    )
-    fitted = _classified(data, "order_id", "is_late", learner, rare_class_weight(data, "is_late"), "delay_risk_score")
+    encoder = label_pipeline(raw, features.DELAY_NUMBERS, features.DELAY_LABELS)[0]
+    coded = encoder.transform(raw)
+    data = _kept(coded.select("order_id", "is_late", vector_to_array("features").alias("features")))
+    n = len(features.DELAY_NUMBERS) + len(features.DELAY_LABELS)
+    settings = Settings(rounds, depth, rate, rows=0.8, columns=0.8, seed=SEED)
+    fitted = _boosted_classes(data, n, "order_id", "is_late", settings, "delay_risk_score")
     tiered = fitted.scores.select(
         "order_id", "delay_risk_score", delay_tier(F.col("delay_risk_score")).alias("delay_risk_tier")
     )
@@ -274,22 +301,12 @@ def delay_risk(done: DataFrame, rounds: int = 300, depth: int = 6, rate: float =
 def review_scores(done: DataFrame, rounds: int = 400, depth: int = 6, rate: float = 0.04) -> Fitted:
     """Boosted regression of the score, kept within 1..5 and rounded to halves."""
     raw = features.review(done)
-    encoder, bins = label_pipeline(raw, features.REVIEW_NUMBERS, features.REVIEW_LABELS)
-    data = _held(encoder.transform(raw).select("order_id", "review_score", "features"), "order_id")
-    learner = GBTRegressor(
-        labelCol="review_score",
-        featuresCol="features",
-        maxIter=rounds,
-        maxDepth=depth,
-        stepSize=rate,
-        subsamplingRate=0.8,
-        featureSubsetStrategy="0.8",
-        maxBins=bins,
-        seed=SEED,
-    )
-    model = learner.fit(data.where(~in_test_set("order_id")))
-    scored = model.transform(data)
-    metrics = regression_report(scored.where(in_test_set("order_id")), "review_score", "prediction")
+    encoder = label_pipeline(raw, features.REVIEW_NUMBERS, features.REVIEW_LABELS)[0]
+    coded = encoder.transform(raw)
+    data = _kept(coded.select("order_id", "review_score", vector_to_array("features").alias("features")))
+    n = len(features.REVIEW_NUMBERS) + len(features.REVIEW_LABELS)
+    settings = Settings(rounds, depth, rate, rows=0.8, columns=0.8, seed=SEED)
+    model, scored, metrics = _boosted_values(data, n, "order_id", "review_score", settings)
     shown = scored.withColumn("predicted_review_score", rounded_prediction(F.col("prediction")))
     return Fitted(
         shown.select(
@@ -324,11 +341,9 @@ def lifetime_value(done: DataFrame, anchor: str = vocab.ANCHOR_DATE, rounds: int
         F.log1p(F.col("monetary_total").cast("double")).alias("log_value"),
         *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in LTV_FEATURES],
     )
-    data = _held(VectorAssembler(inputCols=LTV_FEATURES, outputCol="features").transform(filled), "customer_unique_id")
-    learner = GBTRegressor(labelCol="log_value", featuresCol="features", maxIter=rounds, maxDepth=5, seed=SEED)
-    model = learner.fit(data.where(~in_test_set("customer_unique_id")))
-    scored = model.transform(data)
-    metrics = regression_report(scored.where(in_test_set("customer_unique_id")), "log_value", "prediction")
+    data = _kept(filled.select("customer_unique_id", "log_value", _array(LTV_FEATURES)))
+    settings = Settings(rounds, depth=5, seed=SEED)
+    model, scored, metrics = _boosted_values(data, len(LTV_FEATURES), "customer_unique_id", "log_value", settings)
     return Fitted(
         scored.select("customer_unique_id", F.expm1("prediction").alias("predicted_value")), metrics, model, data
     )
@@ -347,9 +362,9 @@ def seller_churn(
     filled = table.select(
         "seller_id", "churned", *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in SELLER_FEATURES]
     )
-    data = _held(VectorAssembler(inputCols=SELLER_FEATURES, outputCol="features").transform(filled), "seller_id")
-    learner = GBTClassifier(maxIter=rounds, maxDepth=4, seed=SEED)
-    fitted = _classified(data, "seller_id", "churned", learner, rare_class_weight(data, "churned"), "churn_probability")
+    data = _kept(filled.select("seller_id", "churned", _array(SELLER_FEATURES)))
+    settings = Settings(rounds, depth=4, seed=SEED)
+    fitted = _boosted_classes(data, len(SELLER_FEATURES), "seller_id", "churned", settings, "churn_probability")
     return Fitted(fitted.scores.select("seller_id", "churn_probability"), fitted.metrics, fitted.model, data)
 
 

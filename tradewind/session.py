@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,3 +46,17 @@ def staged(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_folder(spark))
     return df.checkpoint(eager=True)
+
+
+def send_package(spark: SparkSession) -> None:
+    """Give Python workers on other machines this package, once per application."""
+    context = spark.sparkContext
+    if getattr(context, "_tradewind_sent", False):
+        return
+    package = Path(__file__).parent
+    archive = Path(tempfile.mkdtemp(prefix="tradewind-code-")) / "tradewind-code.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in package.rglob("*.py"):
+            z.write(f, f.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    context._tradewind_sent = True
