@@ -5,11 +5,11 @@ from __future__ import annotations
 import threading
 from collections.abc import Callable, Mapping
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from tradewind.plans import calendar, cleaning, order_table, star
-from tradewind.session import configure, shared_folder, staged
+from tradewind.session import configure, shared_folder
+from tradewind.sources.versions import VersionedTable
 from tradewind.sources.writers import LoadReport, replace_table
 
 DIMENSIONS = [
@@ -115,23 +115,17 @@ class Warehouse(Mapping):
         if self.root is None:
             return self._jobs[name]()
         path = f"{self.root}/{name}"
-        frame = self._jobs[name](self._stored(path)) if name in UPSERTED else self._jobs[name]()
+        if name in UPSERTED:
+            # the old keys stay readable until the new version is committed
+            table = VersionedTable(self.spark, path)
+            self.reports[name] = table.replace(self._jobs[name](table.read()))
+            return table.read()
+        frame = self._jobs[name]()
         if name in LAYOUT:
             frame = frame.repartitionByRange(*LAYOUT[name]).sortWithinPartitions(LAYOUT[name][0])
         self.reports[name] = replace_table(frame, path)
         return self.spark.read.parquet(path)
 
-    def _stored(self, path: str) -> DataFrame | None:
-        """The dimension of the last load, copied aside because its place is about to be replaced."""
-        try:
-            stored = self.spark.read.parquet(path)
-        except AnalysisException as e:
-            # only a missing table is a first load; a damaged one must not renumber the keys
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return None
-        return staged(stored)
-
     def __iter__(self):
         return iter(self._jobs)
 

@@ -3,38 +3,55 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 @dataclass(frozen=True)
 class LoadReport:
+    """Rows and figures were counted by the job that wrote them."""
+
     table: str
     rows: int
     seconds: float
+    figures: Mapping[str, int] = field(default_factory=dict)
+
+
+def counted(df: DataFrame, figures: Mapping[str, Column] | None = None) -> tuple[DataFrame, Callable[..., int]]:
+    """The frame, and a function that gives its row count, or a named figure, once it was written."""
+    seen = Observation()
+    watched = df.observe(seen, F.count(F.lit(1)).alias("_rows"), *[c.alias(n) for n, c in (figures or {}).items()])
+    return watched, lambda name="_rows": int(seen.get[name] or 0)
 
 
-def _report(spark: SparkSession, path: str, started: float) -> LoadReport:
-    """Row count and elapsed time; the count is summed from the file footers, no data is read again."""
-    return LoadReport(path, spark.read.parquet(path).count(), time.monotonic() - started)
+def nulls(df: DataFrame) -> dict[str, Column]:
+    """Figures of a load: missing values of every column."""
+    return {f"nulls_{c}": F.count_if(F.col(c).isNull()) for c in df.columns}
 
 
-def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> LoadReport:
-    """Full replacement of a table."""
+def _written(df: DataFrame, path: str, mode: str, partition_by: Sequence[str], figures: Mapping[str, Column] | None) -> LoadReport:
     started = time.monotonic()
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    watched, value = counted(df, figures)
+    writer = watched.write.mode("overwrite").option("partitionOverwriteMode", mode)
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
-    return _report(df.sparkSession, path, started)
+    return LoadReport(path, value(), time.monotonic() - started, {n: value(n) for n in figures or {}})
 
 
-def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> LoadReport:
+def replace_table(
+    df: DataFrame, path: str, partition_by: Sequence[str] = (), figures: Mapping[str, Column] | None = None
+) -> LoadReport:
+    """Full replacement of a table; `figures` are aggregates over the written rows."""
+    return _written(df, path, "static", partition_by, figures)
+
+
+def replace_partitions(
+    df: DataFrame, path: str, partition_by: Sequence[str], figures: Mapping[str, Column] | None = None
+) -> LoadReport:
     """Replace only the partitions present in the frame."""
-    started = time.monotonic()
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(*partition_by).parquet(path)
-    return _report(df.sparkSession, path, started)
+    return _written(df, path, "dynamic", partition_by, figures)
 
 
 def replace_if_any(df: DataFrame, path: str) -> LoadReport | None:
