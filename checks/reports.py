@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from checks.registry import add
 from checks.tables import loaded
+from tradewind.operators.metrics import area_under_roc, threshold_figures
 from tradewind.operators.summaries import histogram
 from tradewind.plans import dashboards, features
 
@@ -321,3 +322,33 @@ add(
               coalesce(days_to_approve, 0) AS days_to_approve, coalesce(days_to_ship, 0) AS days_to_ship
        FROM done WHERE is_delivered_on_time IS NOT NULL""",
 )
+
+
+def _score_metrics(orders):
+    """How well the days on the way tell a bad review, over all thresholds and at some."""
+    told = orders.select(F.col("days_purchase_to_delivery").alias("score"), (F.col("review_score") <= 2).cast("int").alias("bad"))
+    figures = threshold_figures(told, "score", "bad", [5, 10, 15, 20, 25])
+    area = area_under_roc(told, "score", "bad").select("area").scalar()
+    return figures.withColumn("area", area)
+
+
+add(
+    "score_metrics",
+    "threshold:n hits:i false_alarms:i misses:i precision:r recall:r f1:r area:r",
+    on_done(_score_metrics),
+    """WITH told AS (
+         SELECT days_purchase_to_delivery AS score, (review_score <= 2)::INT AS bad FROM done
+         WHERE days_purchase_to_delivery IS NOT NULL AND review_score IS NOT NULL),
+       ranks AS (
+         SELECT bad, rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / 2.0 AS r FROM told),
+       area AS (
+         SELECT (sum(r) FILTER (bad = 1) - sum(bad) * (sum(bad) + 1) / 2.0) / (sum(bad) * sum(1 - bad)) AS area FROM ranks),
+       cells AS (
+         SELECT t AS threshold, count(*) FILTER (score >= t AND bad = 1) AS hits, count(*) FILTER (score >= t AND bad = 0) AS false_alarms,
+                count(*) FILTER (score < t AND bad = 1) AS misses
+         FROM told, (VALUES (5), (10), (15), (20), (25)) v(t) GROUP BY t)
+       SELECT threshold, hits, false_alarms, misses, hits::DOUBLE / nullif(hits + false_alarms, 0) AS precision,
+              hits::DOUBLE / nullif(hits + misses, 0) AS recall,
+              2.0 * hits / nullif(2 * hits + false_alarms + misses, 0) AS f1, area
+       FROM cells, area""",
+)

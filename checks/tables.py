@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from checks.registry import add
 from tradewind.functions import vocab
+from tradewind.functions.dates import unknown_day
 from tradewind.functions.text import state_name
 from tradewind.operators.upsert import upsert_scd1
-from tradewind.plans import calendar, order_table, star
+from tradewind.plans import calendar, order_table, snapshot, star
 from tradewind.plans.warehouse import over_given_tables
+from tradewind.session import shared_folder
 from tradewind.sources import binding
+from tradewind.sources.versions import VersionedTable
 from tradewind.sources.writers import write_back
+from tradewind.streaming.upsert import batch_upsert, upsert_available
 
 
 def loaded(spark, folder):
@@ -217,6 +223,67 @@ add(
     plan("fact_order_life_cycle"),
     "SELECT * FROM f_life",
 )
+
+
+def _versioned(spark, name):
+    return VersionedTable(spark, f"{shared_folder(spark)}/tradewind/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}")
+
+
+def _after_changes(spark, folder):
+    """The life cycle as it was known 60 days before the last purchase, refreshed with all that is known now."""
+    tables = loaded(spark, folder)
+    now = {name: tables[name] for name in snapshot.INPUTS}
+    bought, delivered = F.col("order_purchase_date"), F.col("order_delivered_customer_date")
+    known = bought != unknown_day()
+    then = F.date_sub(now["orders"].agg(F.max(F.when(known, bought))).scalar(), 60)
+    on_the_way = known & (delivered > then) & (delivered != unknown_day())
+    orders = now["orders"].where(bought <= then)
+    orders = orders.withColumns(
+        {
+            "order_status": F.when(on_the_way, "shipped").otherwise(F.col("order_status")),
+            "order_delivered_customer_date": F.when(on_the_way, unknown_day()).otherwise(delivered),
+        }
+    )
+    life = snapshot.LifeCycle(_versioned(spark, "life"))
+    life.refresh(now | {"orders": orders}, tables["dim_order_status"])
+    life.refresh(now, tables["dim_order_status"])
+    return life.read()
+
+
+add(
+    "lifecycle_after_changes",
+    "purchase_date_key:i approval_date_key:i carrier_date_key:i delivery_date_key:i estimated_delivery_date_key:i "
+    "customer_sk:i order_status_sk:i order_id_bk:s days_to_approve:n days_to_ship:n days_to_deliver:n "
+    "days_purchase_to_delivery:n days_delivery_variance:n is_delivered_on_time:b total_items:i total_distinct_products:i "
+    "total_distinct_sellers:i total_order_value:n total_freight_value:n total_payment_value:n",
+    _after_changes,
+    "SELECT * FROM f_life",
+)
+
+
+def _streamed(spark, folder):
+    """Customers as a stream of files, then the last batch delivered a second time with other rows."""
+    path = f"{folder}/customer.parquet"
+    columns = ["c_name", "c_mktsegment", "c_nationkey"]
+    key = F.col("c_custkey").cast("string").alias("customer")
+    schema = spark.read.parquet(path).schema
+    # a pattern: a stream does not take the path of a single file
+    stream = spark.readStream.schema(schema).parquet(f"{folder}/customer.parque?").select(key, *columns)
+    table = _versioned(spark, "streamed")
+    handle = batch_upsert(table, "customers", "customer", "customer_sk", columns, columns)
+    upsert_available(stream, handle, f"{table.root}/progress")
+    again = spark.read.schema(schema).parquet(path).select(key, F.upper("c_name").alias("c_name"), *columns[1:])
+    handle(again, int(table.latest().token.split(":")[1]))
+    return table.read()
+
+
+add(
+    "stream_upsert_dim",
+    "customer_sk:i customer:s c_name:s c_mktsegment:s c_nationkey:i",
+    _streamed,
+    """SELECT row_number() OVER (ORDER BY substr(md5(c_custkey::VARCHAR), 1, 3), c_custkey::VARCHAR) AS customer_sk,
+              c_custkey::VARCHAR AS customer, c_name, c_mktsegment, c_nationkey FROM customer""",
+)
 add(
     "fact_funnel",
     "closed_deal_sk:i first_contact_date_key:i won_date_key:i seller_sk:i mql_channel_sk:i mql_id_bk:s sdr_id_bk:s "

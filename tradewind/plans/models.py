@@ -15,7 +15,7 @@ from pyspark import StorageLevel
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, ClusteringEvaluator, RegressionEvaluator
+from pyspark.ml.evaluation import ClusteringEvaluator, RegressionEvaluator
 from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -31,6 +31,7 @@ from tradewind.functions.numbers import (
     segment_name,
 )
 from tradewind.operators.boosting import Boosted, Settings, boost
+from tradewind.operators.metrics import area_under_roc
 from tradewind.operators.ranking import average_rank
 from tradewind.operators.summaries import in_stratified_test_set, in_test_set
 from tradewind.plans import features
@@ -57,20 +58,21 @@ class Fitted:
 
 
 PARTS = 4
+PART_ROWS = 50_000
 
 
-def _held(df: DataFrame, key: str, parts: int = PARTS) -> DataFrame:
+def _held(df: DataFrame, key: str) -> DataFrame:
     """Keep a training frame that every pass of a learner reads; lost parts are recomputed.
 
-    Row sampling and starts are seeded per partition, so rows go to a fixed
-    number of partitions by a hash of their key and are sorted there: the scores
-    depend on the rows alone, not on files, cluster or size. Give larger data
-    more `parts`.
+    Row sampling and starts are seeded per partition, so rows go to partitions
+    by a hash of their key and are sorted there, and the row count decides the number
+    of partitions: the scores depend on the rows alone, not on files or cluster.
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         # tree ensembles cut their lineage there every few rounds
         context.setCheckpointDir(shared_folder(df.sparkSession))
+    parts = max(PARTS, -(-df.count() // PART_ROWS))
     return df.repartition(parts, key).sortWithinPartitions(key).persist(StorageLevel.MEMORY_AND_DISK)
 
 
@@ -189,8 +191,7 @@ def label_pipeline(df: DataFrame, numbers: Sequence[str], labels: Sequence[str])
 
 def binary_report(scored: DataFrame, label: str, probability: str) -> dict[str, float]:
     """Area under ROC, and precision, recall and F1 per class at 0.5."""
-    area = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol=probability).evaluate(scored)
-    out = {"auc": area}
+    out = {"auc": area_under_roc(scored, probability, label).first()["area"]}
     guess = (F.col(probability) >= 0.5).cast("int")
     cells = {
         (int(r.y), int(r.g)): r.n
