@@ -116,3 +116,12 @@ def test_polarity_agrees_with_the_stated_list():
 
     marks = {n: m for n, m in M.MEASURES.items() if isinstance(m, M.Trend)}
     assert {n for n, m in marks.items() if not m.higher_is_better} == FALL_IS_GOOD
+
+
+@pytest.mark.parametrize(("query", "most"), [("period_comparisons", 34), ("trend_flags", 43), ("shift_comparisons", 14)])
+def test_comparisons_share_their_scans(spark, query, most):
+    import __spark_entry__ as entry
+
+    frame = entry.queries()[query](spark, "/root/testdata/sf0.001")
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") <= most and "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan

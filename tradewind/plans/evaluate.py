@@ -49,8 +49,11 @@ def _anchor(star: Star, ctx: Context) -> dt.date:
     return star.last_purchase
 
 
-def _moves_in_time(name: str) -> bool:
-    return any(isinstance(M.MEASURES[n], (M.Period, M.Windowed)) for n in M.ordered([name]))
+def _ends(star: Star, ctx: Context) -> dict[str | None, dt.date]:
+    """Last day of to-date figures: a figure with its own date range follows the end of each outer window."""
+    if len(ctx.windows) > 1:
+        return {label: last for label, (_, last) in ctx.windows.items()}
+    return {(ctx.labels[0] if ctx.windows else None): _anchor(star, ctx)}
 
 
 def _groups(ctx: Context) -> list[str]:
@@ -58,68 +61,116 @@ def _groups(ctx: Context) -> list[str]:
 
 
 def _evaluate(star: Star, names: list[str], ctx: Context) -> DataFrame:
-    moving = [n for n in names if _moves_in_time(n)]
-    if moving and len(ctx.windows) > 1:
-        # a figure with its own date range follows the end of each outer window
-        return reduce(
-            DataFrame.unionByName,
-            [_evaluate(star, names, ctx.but(windows={k: w}, anchor=w[1])) for k, w in ctx.windows.items()],
-        )
-    plan = M.ordered(names)
-    frame = _combine(star, _parts(star, plan, ctx), ctx)
-    for level in _levels(plan):
-        frame = frame.withColumns({n: _derived(n, ctx) for n in level})
+    plan, same = _planned(names, ctx)
+    frame = _combine(star, _parts(star, plan, same, ctx), ctx)
+    for level in _levels(plan, same):
+        frame = frame.withColumns({n: F.col(same[n]) if n in same else _derived(n, ctx) for n in level})
     return frame.select(*_groups(ctx), *names)
 
 
-def _levels(plan: Sequence[str]) -> list[list[str]]:
+def _planned(names: list[str], ctx: Context) -> tuple[list[str], dict[str, str]]:
+    """Measures to compute, and those that are their base here, because nothing has to be removed from the context."""
+    same: dict[str, str] = {}
+    while True:
+        plan = M.ordered([*same.values(), *names])
+        more = {n: M.MEASURES[n].base for n in plan if n not in same and _leaves_context(M.MEASURES[n], ctx)}
+        if not more:
+            # a base goes before what is the same as it
+            return plan, same
+        same |= more
+
+
+def _leaves_context(m, ctx: Context) -> bool:
+    if isinstance(m, M.Without):
+        return ctx.without(m.attributes) == ctx
+    return isinstance(m, M.KeepOnly) and not ctx.windows and {*ctx.by, *ctx.where} <= set(m.attributes)
+
+
+def _levels(plan: Sequence[str], same: Mapping[str, str]) -> list[list[str]]:
     """Computed measures, grouped so that each level needs only the earlier ones."""
     depth: dict[str, int] = {}
+    computed = [n for n in plan if n in same or isinstance(M.MEASURES[n], (M.Calc, M.Trend, M.Rank))]
     levels: list[list[str]] = []
-    for n in plan:
-        if isinstance(M.MEASURES[n], (M.Calc, M.Trend, M.Rank)):
-            depth[n] = max((depth.get(d, -1) for d in M.dependencies(M.MEASURES[n])), default=-1) + 1
-            if depth[n] == len(levels):
-                levels.append([])
-            levels[depth[n]].append(n)
+    while len(depth) < len(computed):
+        ready = []
+        for n in computed:
+            if n not in depth:
+                needs = [same[n]] if n in same else M.dependencies(M.MEASURES[n])
+                if all(d not in computed or depth.get(d, len(levels)) < len(levels) for d in needs):
+                    ready.append(n)
+        depth |= {n: len(levels) for n in ready}
+        levels.append(ready)
     return levels
 
 
 # --- leaves -----------------------------------------------------------------
 
 
-def _parts(star: Star, plan: Sequence[str], ctx: Context) -> list[Part]:
+def _parts(star: Star, plan: Sequence[str], same: Mapping[str, str], ctx: Context) -> list[Part]:
+    """Results that need their own rows; measures that need the same rows share one evaluation."""
     parts: list[Part] = []
     shared: dict[tuple, list[str]] = {}
-    periods: dict[tuple, list[str]] = {}
     for n in plan:
         m = M.MEASURES[n]
+        if n in same:
+            continue
         if isinstance(m, M.Agg):
-            shared.setdefault((m.fact, m.key, m.undated), []).append(n)
+            kind = ("aggregate", m.fact, m.key, m.undated)
         elif isinstance(m, M.Period):
-            periods.setdefault(tuple(m.roles.items()), []).append(n)
+            kind = ("compared", *m.roles.items())
         elif isinstance(m, M.Windowed):
-            parts.append(_windowed(star, n, m, ctx))
+            kind = ("windowed", *((label, m.first_day(last)) for label, last in _ends(star, ctx).items()))
         elif isinstance(m, M.Shift):
-            parts.append(_shifted(star, n, m, ctx))
-        elif isinstance(m, M.Without):
-            parts.append(_reduced(star, n, m.base, ctx.without(m.attributes)))
-        elif isinstance(m, M.KeepOnly):
-            others = [a for a in {*ctx.by, *ctx.where} if a not in m.attributes]
-            parts.append(_reduced(star, n, m.base, ctx.without(others).but(windows={})))
+            kind = ("shifted", m.grain)
+        elif isinstance(m, (M.Without, M.KeepOnly)):
+            kind = (type(m).__name__, m.attributes)
         elif isinstance(m, M.Over):
-            parts.append(_over(star, n, m, ctx))
+            # facts are kept apart: groups that only one has must not show in the other's figures
+            kind = ("over", m.attribute, *sorted(_facts(m.deps)))
         elif isinstance(m, M.Standing):
             parts.append(_standing(star, n, m, ctx))
+            continue
         elif isinstance(m, M.RankChange):
             parts.append(_rank_change(star, n, m, ctx))
-    for (fact, key, undated), group in shared.items():
-        parts.append(_aggregate(star, fact, key, undated, group, ctx))
-    for roles, group in periods.items():
-        parts.append(_compared(star, dict(roles), group, ctx))
+            continue
+        else:
+            continue
+        shared.setdefault(kind, []).append(n)
+    for (kind, *what), group in shared.items():
+        first = M.MEASURES[group[0]]
+        if kind == "aggregate":
+            parts.append(_aggregate(star, *what, group, ctx))
+        elif kind == "compared":
+            parts.append(_compared(star, dict(what), group, ctx))
+        elif kind == "windowed":
+            parts.append(_windowed(star, dict(what), group, ctx))
+        elif kind == "shifted":
+            parts.append(_shifted(star, first.grain, group, ctx))
+        elif kind == "over":
+            parts.append(_over(star, first.attribute, group, ctx))
+        elif kind == "Without":
+            parts.append(_reduced(star, group, ctx.without(first.attributes)))
+        else:
+            others = [a for a in {*ctx.by, *ctx.where} if a not in first.attributes]
+            parts.append(_reduced(star, group, ctx.without(others).but(windows={})))
     return parts
 
 
+def _facts(names: Sequence[str]) -> set[str]:
+    """Facts that measures come from, through all they are made of."""
+    found, seen, todo = set(), set(), list(names)
+    while todo:
+        n = todo.pop()
+        if n in seen:
+            continue
+        seen.add(n)
+        m = M.MEASURES[n]
+        if isinstance(m, M.Agg):
+            found.add(m.fact)
+        todo += [*M.dependencies(m), *getattr(m, "deps", ()), *([m.base] if hasattr(m, "base") else [])]
+    return found
+
+
 def _aggregate(star: Star, fact: str, key: str | None, undated: bool, group: list[str], ctx: Context) -> Part:
     found = [M.MEASURES[n] for n in group]
     if undated:
@@ -142,17 +193,23 @@ def _aggregate(star: Star, fact: str, key: str | None, undated: bool, group: lis
     return groups + win, df.groupBy(*groups, *win).agg(*exprs), group
 
 
-def _reduced(star: Star, name: str, base: str, ctx: Context) -> Part:
-    frame = _evaluate(star, [base], ctx).withColumnRenamed(base, name)
-    return _groups(ctx), frame, [name]
+def _bases(group: Sequence[str]) -> list[str]:
+    return list(dict.fromkeys(M.MEASURES[n].base for n in group))
 
 
-def _over(star: Star, name: str, m: M.Over, ctx: Context) -> Part:
-    inner = _evaluate(star, list(m.deps), ctx.but(by=tuple(dict.fromkeys([*ctx.by, m.attribute]))))
-    if m.attribute not in ctx.by:
-        inner = inner.where(F.col(m.attribute).isNotNull())
+def _reduced(star: Star, group: list[str], ctx: Context) -> Part:
+    frame = _evaluate(star, _bases(group), ctx)
+    return _groups(ctx), frame.select(*_groups(ctx), *[F.col(M.MEASURES[n].base).alias(n) for n in group]), group
+
+
+def _over(star: Star, attribute: str, group: list[str], ctx: Context) -> Part:
+    found = [M.MEASURES[n] for n in group]
+    deps = list(dict.fromkeys(d for m in found for d in m.deps))
+    inner = _evaluate(star, deps, ctx.but(by=tuple(dict.fromkeys([*ctx.by, attribute]))))
+    if attribute not in ctx.by:
+        inner = inner.where(F.col(attribute).isNotNull())
     groups = _groups(ctx)
-    return groups, inner.groupBy(*groups).agg(m.expr(F.col).alias(name)), [name]
+    return groups, inner.groupBy(*groups).agg(*[m.expr(F.col).alias(n) for n, m in zip(group, found)]), group
 
 
 def _labelled(frame: DataFrame, ctx: Context) -> DataFrame:
@@ -160,11 +217,10 @@ def _labelled(frame: DataFrame, ctx: Context) -> DataFrame:
     return frame.withColumn("_win", F.lit(ctx.labels[0])) if ctx.windows else frame
 
 
-def _windowed(star: Star, name: str, m: M.Windowed, ctx: Context) -> Part:
-    last = _anchor(star, ctx)
-    inner = ctx.but(windows={"w": (m.first_day(last), last)}, anchor=last)
-    frame = _evaluate(star, [m.base], inner).drop("_win").withColumnRenamed(m.base, name)
-    return _groups(ctx), _labelled(frame, ctx), [name]
+def _windowed(star: Star, first_days: Mapping[str | None, dt.date], group: list[str], ctx: Context) -> Part:
+    windows = {label or "w": (first_days[label], last) for label, last in _ends(star, ctx).items()}
+    frame = _evaluate(star, _bases(group), ctx.but(windows=windows, anchor=None))
+    return _groups(ctx), frame.select(*_groups(ctx), *[F.col(M.MEASURES[n].base).alias(n) for n in group]), group
 
 
 # --- to-date comparison -------------------------------------------------------
@@ -187,32 +243,35 @@ def change(curr: Column, prior: Column) -> Column:
 def to_date_compare(
     star: Star, wanted: Mapping[str, Sequence[str]], ctx: Context | None = None
 ) -> DataFrame:
-    """`<name>__<grain>__curr` and `…__prior` of the bases wanted per grain, one row per group.
+    """`<name>__<grain>__curr` and `…__prior` of the bases wanted per grain, one row per group and outer window.
 
-    The ranges of several grains overlap; a row is then counted in each range
+    The ranges of several grains and outer windows overlap; a row is then counted in each range
     it lies in, and all ranges of a fact are read in one pass.
     """
     ctx = ctx or Context()
-    anchor = _anchor(star, ctx)
-    ranges = {g: to_date_windows(anchor, g) for g in wanted}
-    windows = {f"{g}__{w}": r for g, both in ranges.items() for w, r in both.items()}
-    plain = list(dict.fromkeys(n for names in wanted.values() for n in names if not _moves_in_time(n)))
-    frames = []
-    if plain:
-        frames.append(_evaluate(star, plain, ctx.but(windows=windows, anchor=None)))
-    for g, names in wanted.items():
-        moving = [n for n in names if _moves_in_time(n)]
-        if moving:
-            labels = {f"{g}__{w}": r for w, r in ranges[g].items()}
-            frames.append(_evaluate(star, moving, ctx.but(windows=labels, anchor=None)))
-    both = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    ends = _ends(star, ctx)
+    ranges = {
+        (outer, f"{g}__{w}"): r for outer, last in ends.items() for g in wanted for w, r in to_date_windows(last, g).items()
+    }
+    labels = {k: f"{k[0] or ''}|{k[1]}" for k in ranges}
+    bases = list(dict.fromkeys(n for names in wanted.values() for n in names))
+    both = _evaluate(star, bases, ctx.but(windows={labels[k]: r for k, r in ranges.items()}, anchor=None))
+
+    def part(i: int) -> Column:
+        return F.element_at(F.create_map(*[F.lit(x) for k, label in labels.items() for x in (label, k[i])]), F.col("_win"))
+
+    own = part(1)
     picked = [
-        F.max(F.when(F.col("_win") == f"{g}__{w}", F.col(n))).alias(f"{n}__{g}__{w}")
+        F.max(F.when(F.col("_own") == f"{g}__{w}", F.col(n))).alias(f"{n}__{g}__{w}")
         for g, names in wanted.items()
         for n in names
         for w in ("curr", "prior")
     ]
-    return both.groupBy(*ctx.by).agg(*picked)
+    both = both.withColumn("_own", own)
+    if len(ends) == 1:
+        # one outer window has a row even where no day of it has any
+        return _labelled(both.groupBy(*ctx.by).agg(*picked), ctx)
+    return both.withColumn("_win", part(0)).groupBy(*_groups(ctx)).agg(*picked)
 
 
 def _compared(star: Star, roles: Mapping[str, str], group: list[str], ctx: Context) -> Part:
@@ -222,8 +281,7 @@ def _compared(star: Star, roles: Mapping[str, str], group: list[str], ctx: Conte
         bases = wanted.setdefault(m.grain, [])
         if m.base not in bases:
             bases.append(m.base)
-    inner = ctx.but(roles={**ctx.roles, **roles}, windows={}, anchor=_anchor(star, ctx))
-    frame = to_date_compare(star, wanted, inner)
+    frame = to_date_compare(star, wanted, ctx.but(roles={**ctx.roles, **roles}))
     shown = []
     for n, m in found.items():
         curr, prior = (F.col(f"{m.base}__{m.grain}__{w}") for w in ("curr", "prior"))
@@ -234,7 +292,7 @@ def _compared(star: Star, roles: Mapping[str, str], group: list[str], ctx: Conte
             "delta": F.when(curr.isNotNull() | prior.isNotNull(), M.zero(curr) - M.zero(prior)),
         }[m.part]
         shown.append(value.alias(n))
-    return _groups(ctx), _labelled(frame.select(*ctx.by, *shown), ctx), group
+    return _groups(ctx), frame.select(*_groups(ctx), *shown), group
 
 
 # --- whole-period shift -----------------------------------------------------------
@@ -268,19 +326,19 @@ def shift_compare(star: Star, names: Sequence[str], grain: str, ctx: Context | N
     return both
 
 
-def _shifted(star: Star, name: str, m: M.Shift, ctx: Context) -> Part:
+def _shifted(star: Star, grain: str, group: list[str], ctx: Context) -> Part:
     """A shift inside a context is that of the period the anchor lies in."""
     a = _anchor(star, ctx)
-    number = {"month": a.year * 12 + a.month, "quarter": a.year * 4 + (a.month + 2) // 3, "year": a.year}[m.grain]
-    column = PERIOD_NUMBER[m.grain]
+    number = {"month": a.year * 12 + a.month, "quarter": a.year * 4 + (a.month + 2) // 3, "year": a.year}[grain]
+    column, bases = PERIOD_NUMBER[grain], _bases(group)
     if column in ctx.by:
         rest = tuple(x for x in ctx.by if x != column)
-        frame = shift_compare(star, [m.base], m.grain, ctx.but(by=rest, windows={}))
+        frame = shift_compare(star, bases, grain, ctx.but(by=rest, windows={}))
     else:
         inner = ctx.but(windows={}, where={**ctx.where, column: [number - 1, number]})
-        frame = shift_compare(star, [m.base], m.grain, inner).where(F.col(column) == number)
-    value = F.col(f"{m.base}__{m.part}").alias(name)
-    return _groups(ctx), _labelled(frame.select(*ctx.by, value), ctx), [name]
+        frame = shift_compare(star, bases, grain, inner).where(F.col(column) == number)
+    values = [F.col(f"{M.MEASURES[n].base}__{M.MEASURES[n].part}").alias(n) for n in group]
+    return _groups(ctx), _labelled(frame.select(*ctx.by, *values), ctx), group
 
 
 def _rank_change(star: Star, name: str, m: M.RankChange, ctx: Context) -> Part:
