@@ -7,6 +7,7 @@ class counts and metrics reach the driver.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from multiprocessing.pool import ThreadPool
@@ -18,7 +19,7 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator, RegressionEvaluator
 from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
 
@@ -229,12 +230,19 @@ def _positive(column: str = "probability") -> Column:
     return vector_to_array(F.col(column)).getItem(1)
 
 
+def _stored(model):
+    """The model as read back from the shared folder: without its training summary, which holds the session."""
+    path = f"{shared_folder(SparkSession.active())}/tradewind/models/{uuid.uuid4().hex}"
+    model.write().save(path)
+    return type(model).load(path)
+
+
 def _classified(data: DataFrame, key: str, label: str, learner, weight: Column, name: str) -> Fitted:
     """Fit on four fifths of each class, report on the rest, score all; rows without a label are only scored."""
     known = data.where(F.col(label).isNotNull())
     tested = in_stratified_test_set(known, key, label)
     train = known.where(~tested).withColumn("_weight", weight)
-    model = learner.setLabelCol(label).setFeaturesCol("features").setWeightCol("_weight").fit(train)
+    model = _stored(learner.setLabelCol(label).setFeaturesCol("features").setWeightCol("_weight").fit(train))
     scored = model.transform(data).withColumn(name, _positive())
     metrics = binary_report(scored.where(F.col(label).isNotNull() & tested), label, name)
     return Fitted(scored, metrics, model, data)
