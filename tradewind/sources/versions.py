@@ -51,13 +51,13 @@ class VersionedTable:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
+    def _exists(self, path: str) -> bool:
+        where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return where.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(where)
+
     def commits(self) -> DataFrame | None:
-        try:
-            return self.spark.read.schema(COMMIT).parquet(f"{self.root}/commits")
-        except AnalysisException as e:
-            if not _missing(e):
-                raise
-            return None
+        path = f"{self.root}/commits"
+        return self.spark.read.schema(COMMIT).parquet(path) if self._exists(path) else None
 
     def latest(self) -> Commit | None:
         commits = self.commits()
@@ -81,6 +81,8 @@ class VersionedTable:
 
     def _unversioned(self) -> DataFrame | None:
         """A table that was written in place before there were versions; a damaged one is an error, not a first load."""
+        if not self._exists(self.root):
+            return None
         try:
             return self.spark.read.parquet(f"{self.root}/*.parquet")
         except AnalysisException as e:
