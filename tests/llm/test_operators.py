@@ -424,6 +424,23 @@ def test_jaccard(spark, monkeypatch, n, percent, task):
     assert got == brute.jaccard_components({r[0]: r[1] for r in rows}, n, percent)
 
 
+@pytest.mark.parametrize(("pack", "bucket"), [(40, 30), (10**6, 10**6)])
+def test_candidate_links_like_all_pairs(spark, monkeypatch, pack, bucket):
+    """One key held by most classes, keys of few, a repeated class, one without keys; packs and buckets of any size."""
+    monkeypatch.setattr(jaccard, "PACK", pack)
+    monkeypatch.setattr(jaccard, "BUCKET", bucket)
+    rng = random.Random(8)
+    spread = [rng.randrange(-(2**63), 2**63) for _ in range(400)]
+    sets = {1000 + i: (rng.randrange(12), set(rng.sample(spread, rng.randint(1, 4))) | ({spread[0]} if i % 3 else set())) for i in range(120)}
+    rows = [(k, c, sorted(keys)) for k, (c, keys) in sets.items()]
+    df = spark.createDataFrame([*rows, rows[5], (7, 3, [])], "k long, c short, keys array<long>").repartition(6)
+    got = {r["node"]: r["component"] for r in components(jaccard.candidate_links(df, 2)).collect()}
+    near = [(x, y) for x in sets for y in sets if x < y and abs(sets[x][0] - sets[y][0]) <= 2 and sets[x][1] & sets[y][1]]
+    want = dict(jaccard.stars(near))
+    assert {k: v for k, v in got.items() if k != v} == want
+    assert jaccard.candidate_links(df.limit(0), 2).count() == 0
+
+
 def test_tree_links_like_all_pairs():
     rng = random.Random(4)
     sets = []

@@ -16,6 +16,9 @@ from tradewind.session import staged
 TASK = 5_000_000  # n-grams that a task of the tree join should hold
 BITS = 24  # of the mark table by which texts without candidates are left out
 CLASS = 1.05  # ratio of the set sizes that share a size class
+PACK = 1_000_000  # keys that a map task packs at once
+BUCKET = 500_000  # keys that meet in a bucket, about
+SPARE = 24  # bits of a key beyond those that number all keys
 
 MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 BASE = np.uint64(0x100000001B3)
@@ -94,6 +97,118 @@ def _prefixes(n: int, percent: int):
     return run
 
 
+def _planes(x: np.ndarray) -> bytes:
+    """Whole numbers byte by byte: all first bytes, then all second ones; high bytes that agree compress to nothing."""
+    return np.ascontiguousarray(x).view(np.uint8).reshape(len(x), x.itemsize).T.tobytes()
+
+
+def _numbers(b: bytes, kind) -> np.ndarray:
+    flat = np.frombuffer(b, np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(flat.T).view(kind).ravel()
+
+
+def _chained(g: np.ndarray, c: np.ndarray, k: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of keys in the order (g, c): which are the first of their (g, c), and the links of the others to it."""
+    first = np.ones(len(g), bool)
+    first[1:] = (g[1:] != g[:-1]) | (c[1:] != c[:-1])
+    head = k[np.flatnonzero(first)[np.cumsum(first) - 1]] if len(k) else k
+    apart = head != k
+    return first, k[apart], head[apart]
+
+
+def _joined(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """The same components as those links have, each link to the smallest of its component."""
+    pairs = np.unique(np.stack([np.concatenate(a), np.concatenate(b)], axis=1), axis=0)
+    return np.array(stars(pairs.tolist()), np.int64).reshape(-1, 2)
+
+
+def _packed(per_pack: int, buckets: int, bits: int):
+    """Keys of many classes, sorted and packed by bucket. Of the classes of one size class under
+    a key one is sent, the others are linked to it here: a key that very many texts hold leaves a task once."""
+    mask = np.uint64((1 << 64) - (1 << (64 - bits)))
+
+    def pack(k, c, keys) -> pd.DataFrame:
+        k, c = np.array(k, np.int64), np.array(c, np.int16)
+        order = np.lexsort((k, c))
+        k, c, keys = k[order], c[order], [keys[i] for i in order]
+        g = np.concatenate(keys).astype(np.int64).view(np.uint64) & mask
+        doc = np.repeat(np.arange(len(k)), [len(x) for x in keys])
+        by_key = np.argsort(g, kind="stable")  # classes stay in their order under a key
+        g, doc = g[by_key], doc[by_key]
+        first, a, b = _chained(g, c[doc], k[doc])
+        g, doc = g[first], doc[first]
+        links = _joined([a], [b])
+        at = ((g >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+        edges = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]])) if len(g) else np.zeros(0, np.int64)
+        out = []
+        for lo, hi in zip(edges, [*edges[1:], len(g)]):
+            own, place = np.unique(doc[lo:hi], return_inverse=True)
+            here = links if lo == 0 else links[:0]
+            out.append((int(at[lo]), _planes(g[lo:hi]), _planes(place.astype(np.int32)), _planes(k[own]), _planes(c[own]), here.tobytes()))
+        return pd.DataFrame(out, columns=["bucket", "g", "doc", "k", "c", "links"])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: tuple[list, list, list] = ([], [], [])
+        n = 0
+        for pdf in batches:
+            for k, c, keys in zip(pdf["k"], pdf["c"], pdf["keys"]):
+                for column, value in zip(held, (k, c, np.asarray(keys, np.int64))):
+                    column.append(value)
+                n += len(keys)
+                if n >= per_pack:
+                    yield pack(*held)
+                    held, n = ([], [], []), 0
+        if n:
+            yield pack(*held)
+
+    return run
+
+
+def _met(reach: int):
+    """Links of the classes that share a key in a bucket: of one size class to the smallest, and size classes within reach."""
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        g, c, k, a, b = [], [], [], [], []
+        for row in rows.itertuples():
+            place = _numbers(row.doc, np.int32)
+            g.append(_numbers(row.g, np.uint64))
+            k.append(_numbers(row.k, np.int64)[place])
+            c.append(_numbers(row.c, np.int16)[place])
+            sent = np.frombuffer(row.links, np.int64).reshape(-1, 2)
+            a.append(sent[:, 0])
+            b.append(sent[:, 1])
+        g, c, k = np.concatenate(g), np.concatenate(c), np.concatenate(k)
+        order = np.lexsort((k, c, g))
+        g, c, k = g[order], c[order], k[order]
+        first, x, y = _chained(g, c, k)
+        a.append(x)
+        b.append(y)
+        g, c, k = g[first], c[first], k[first]
+        for step in range(1, reach + 1):
+            near = np.flatnonzero((g[step:] == g[:-step]) & (c[step:] - c[:-step] <= reach))
+            a.append(k[near])
+            b.append(k[near + step])
+        return pd.DataFrame(_joined(a, b), columns=["a", "b"])
+
+    return run
+
+
+def candidate_links(sets: DataFrame, reach: int) -> DataFrame:
+    """a, b: links that put classes (k, size class c, keys) with a common key, at size classes
+    at most `reach` apart, into one component.
+
+    Every key is shuffled once, as a member of a packed row, with as many of its bits as tell
+    the keys of this input apart but for one in 2**SPARE; two keys that agree by
+    chance add candidates and lose none. The number of buckets follows the number of keys,
+    which alone reaches the driver. Repeated rows link nothing new; a class without keys links nothing.
+    """
+    total = sets.agg(F.sum(F.size("keys"))).first()[0] or 0
+    buckets, bits = max(1, -(-total // BUCKET)), min(64, total.bit_length() + SPARE)
+    shape = "bucket long, g binary, doc binary, k binary, c binary, links binary"
+    packed = sets.select("k", "c", "keys").mapInPandas(_packed(PACK, buckets, bits), shape)
+    return packed.groupBy("bucket").applyInPandas(_met(reach), "a long, b long")
+
+
 class _Tree:
     """A prefix tree over ordered sets; edges without branches are one node. Children come before their parent."""
 
@@ -312,6 +427,7 @@ def near_classes(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
        two neighbours hardly ever meet by chance or through a shared passage.
     3. Classes that share such neighbours at sizes within the share are
        candidates. Chains of candidates form families; no link leaves a family.
+       Keys are shuffled once (candidate_links), a text's many copies with theirs.
     4. A family that fits a task is joined in one prefix tree. A larger one is
        cut by size class and hash into blocks, and every two blocks whose sizes
        can match meet in one task, so that no task holds a whole large family.
@@ -328,19 +444,11 @@ def near_classes(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     sets = staged(texts.mapInPandas(_prefixes(n, percent), schema))
     classes = sets.where("n > 0 AND doc_id IS NOT NULL").groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("rep"))
     classes = staged(classes.withColumn("k", F.xxhash64("n", "d1", "d2")))
-    heads = staged(sets.join(classes, ["n", "d1", "d2"]).where("doc_id = rep").select("k", "n", "keys"))
 
-    size_class = F.floor(F.log("n") / F.lit(float(np.log(CLASS)))).cast("int")
-    rows = heads.select(F.explode("keys").alias("g"), "k", size_class.cast("short").alias("c"))
-    shared = heads.select(F.explode("keys").alias("g")).groupBy("g").agg(F.count("*").alias("x")).where("x > 1").select("g")
-    # classes of one size class under a key are linked through the smallest, size classes within reach through theirs
+    size_class = F.floor(F.log("n") / F.lit(float(np.log(CLASS)))).cast("short")
     reach = int(np.ceil(np.log(100 / percent) / np.log(CLASS))) + 1
-    rows = staged(rows.join(shared, "g"))
-    cells = staged(rows.groupBy("g", "c").agg(F.min("k").alias("m"), F.max("k").alias("last")))
-    inside = rows.join(cells.where("m <> last"), ["g", "c"]).where("k <> m").select(F.col("k").alias("a"), F.col("m").alias("b"))
-    near = cells.select("g", "m", F.explode(F.sequence(F.col("c") + 1, F.col("c") + reach)).alias("c"))
-    beside = near.join(cells.select("g", "c", F.col("m").alias("other")), ["g", "c"]).select(F.col("m").alias("a"), F.col("other").alias("b"))
-    families = staged(components(inside.unionByName(beside).distinct()))
+    keyed = sets.where("n > 0 AND doc_id IS NOT NULL").select(F.xxhash64("n", "d1", "d2").alias("k"), size_class.alias("c"), "keys")
+    families = staged(components(staged(candidate_links(keyed, reach))))
 
     # linked sets are in one coarse size class or in neighbouring ones
     coarse = F.floor(F.log("n") / F.lit(float(np.log(100 / percent) * 1.001))).cast("int")
