@@ -441,6 +441,24 @@ def test_candidate_links_like_all_pairs(spark, monkeypatch, pack, bucket):
     assert jaccard.candidate_links(df.limit(0), 2).count() == 0
 
 
+@pytest.mark.parametrize("percent", [60, 80, 84, 85, 90, 97])
+def test_linked_sets_share_a_key(percent):
+    """Any two different sets with their share in common, the smallest ones too, have a key in common."""
+    rng, seen = random.Random(percent), 0
+    length = jaccard.run_length(percent)
+    for _ in range(4000):
+        a = {rng.randrange(2**62) for _ in range(rng.choice([rng.randint(1, 12), rng.randint(1, 60), rng.randint(1, 400)]))}
+        b = set(a)
+        for _ in range(rng.randint(1, 1 + len(a) * (100 - percent) // 100)):
+            b ^= {rng.choice([rng.choice(sorted(a)), rng.randrange(2**62), min(a) + rng.randrange(99)])}
+        if a != b and 100 * len(a & b) >= percent * len(a | b):
+            sets = (np.array(sorted(x), np.uint64) for x in (a, b))
+            x, y = (set(jaccard.run_keys(s[: jaccard.prefix_length(len(s), percent, length)], length).tolist()) for s in sets)
+            assert x & y
+            seen += 1
+    assert seen > 100
+
+
 def test_tree_links_like_all_pairs():
     rng = random.Random(4)
     sets = []

@@ -70,25 +70,41 @@ def ngrams(text: bytes, n: int) -> np.ndarray:
     return np.unique(h)
 
 
-def prefix_length(size: int, percent: int) -> int:
-    """How many n-grams, from the smallest hash on, hold two neighbours that a linked set has as neighbours too.
+def run_length(percent: int) -> int:
+    """How many neighbouring n-grams make a key: as many as small linked sets surely have in common unparted."""
+    return 3 if percent >= 85 else 2 if percent >= 75 else 1
 
-    Linked sets of a and b n-grams with o in common differ in D = a + b - 2 o. Among the
-    first D + 2 common ones there are D + 1 neighbours, and each difference parts
-    one at most. The set has a - o of its own before the last of them at most;
-    D + 2 + a - o is largest for the smallest b, and then 2 a (1 - share) + 2.
+
+def prefix_length(size: int, percent: int, run: int = 2) -> int:
+    """How many n-grams, from the smallest hash on, hold `run` neighbours that a linked set has as neighbours too.
+
+    Linked sets of a and b n-grams with o in common differ in D = a + b - 2 o. With r
+    neighbours to a run, the first (r - 1) D + r common n-grams make (r - 1) D + 1 runs,
+    and each difference parts r - 1 at most. The set has a - o of its own before the last of
+    them at most; (r - 1) D + r + a - o is largest for the smallest b (for shares above
+    (r - 1) / r), and then r a (1 - share) + r. There are so many common ones, as sets
+    that differ at all have 1 / (1 - share) or more n-grams together, at the shares of run_length.
     """
-    return min(size, 2 * size * (100 - percent) // 100 + 3)
+    return min(size, run * size * (100 - percent) // 100 + run + 1)
+
+
+def run_keys(first: np.ndarray, run: int) -> np.ndarray:
+    """A hash of every `run` neighbours."""
+    keys = first
+    for i in range(1, run):
+        keys = _mixed(keys[:-1] * BASE + first[i:])
+    return keys
 
 
 def _prefixes(n: int, percent: int):
+    length = run_length(percent)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = []
             for doc, text in zip(pdf["doc_id"], pdf["text"]):
                 s = ngrams(bytes(text), n)
-                first = s[: prefix_length(len(s), percent)]
-                keys = _mixed(first[:-1] * BASE + first[1:])
+                keys = run_keys(s[: prefix_length(len(s), percent, length)], length)
                 one = np.bitwise_xor.reduce(_mixed(s + MIX[0])) if len(s) else np.uint64(0)
                 two = np.add.reduce(_mixed(s ^ MIX[1])) if len(s) else np.uint64(0)
                 out.append((doc, len(s), int(np.int64(one.view(np.int64))), int(np.int64(two.view(np.int64))), keys.view(np.int64).tolist()))
@@ -422,9 +438,9 @@ def near_classes(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     doc_id reachable, the row's own for an empty set.
 
     1. Rows with equal sets form a class, represented by its smallest doc_id.
-    2. In any global order of the n-grams, linked sets have two neighbours in
-       common among the first of each (prefix_length). Unlike a single n-gram,
-       two neighbours hardly ever meet by chance or through a shared passage.
+    2. In any global order of the n-grams, linked sets have two neighbours (three from
+       a share of 85 % on, one below 75 %) in common among the first of each (prefix_length). Unlike a
+       single n-gram, these hardly ever meet by chance or through a shared passage.
     3. Classes that share such neighbours at sizes within the share are
        candidates. Chains of candidates form families; no link leaves a family.
        Keys are shuffled once (candidate_links), a text's many copies with theirs.
