@@ -8,7 +8,7 @@ from checks.registry import add
 from checks.tables import loaded
 from tradewind.operators.metrics import area_under_roc, threshold_figures
 from tradewind.operators.summaries import histogram
-from tradewind.plans import dashboards, features
+from tradewind.plans import dashboards, features, models
 
 
 def done(spark, folder):
@@ -213,6 +213,18 @@ add(
     "SELECT * FROM churn",
     churn=_CHURN,
 )
+add(
+    "churn_oversampling",
+    "churned:i kept:i made:i",
+    lambda s, f: models.oversampled_churn(done(s, f), ANCHOR)
+    .groupBy("churned")
+    .agg(F.count_if(~F.col("made")).alias("kept"), F.count_if("made").alias("made")),
+    """
+    WITH classes AS (SELECT churned, count(*) AS kept FROM churn WHERE churned IS NOT NULL GROUP BY churned)
+    SELECT churned, kept, (SELECT max(kept) FROM classes) - kept AS made FROM classes
+    """,
+    churn=_CHURN,
+)
 add(
     "churn_rate",
     "customers:i churn_rate:r",

@@ -33,11 +33,12 @@ from tradewind.functions.numbers import (
 )
 from tradewind.operators.boosting import Boosted, Settings, boost
 from tradewind.operators.metrics import area_under_roc
+from tradewind.operators.oversample import oversample
 from tradewind.operators.ranking import average_rank
 from tradewind.operators.summaries import in_stratified_test_set, in_test_set
 from tradewind.plans import features
 from tradewind.plans.dashboards import known_day
-from tradewind.session import shared_folder
+from tradewind.session import shared_folder, staged
 
 SEED = 42
 PARALLEL_FITS = 4
@@ -292,6 +293,19 @@ def churn_risk(
     return Fitted(tiered, fitted.metrics, fitted.model, data)
 
 
+def oversampled_churn(done: DataFrame, anchor: str = vocab.ANCHOR_DATE) -> DataFrame:
+    """churned, features, made: the training table of the churn model, its rarer class filled up with
+    points between neighbours until both are even. Features are measured in their standard deviations."""
+    cust = features.churn(done, anchor).where(F.col("churned").isNotNull())
+    filled = staged(cust.select("churned", *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in CHURN_FEATURES]))
+    # one row of spreads, two of counts
+    spread = filled.agg(*[F.stddev(c).alias(c) for c in CHURN_FEATURES]).first()
+    table = filled.select("churned", F.array(*[F.col(c) / F.lit(spread[c] or 1.0) for c in CHURN_FEATURES]).alias("features"))
+    counts = class_counts(filled, "churned")
+    rare = 1 if counts.get(1, 0) <= counts.get(0, 0) else 0
+    return oversample(table, "churned", "features", rare=rare, seed=SEED).drop("origin", "towards")
+
+
 def delay_risk(done: DataFrame, rounds: int = 300, depth: int = 6, rate: float = 0.05) -> Fitted:
     """Boosted trees on what is known at dispatch."""
     raw = features.delay(done)
