@@ -528,6 +528,21 @@ def test_odd_rows(spark, rows, empty, name):
     assert FRAMES[name](df.limit(0), none).count() == 0
 
 
+SCRATCH = ["_spread", "_k", "_s", "_sid", "_want", "_t", "_steps", "_whole", "_d", "_h", "_lines", "_dropped", "_key", "key", "near", "at", "no", "caller_1"]
+
+
+@pytest.mark.parametrize("name", ["mix", "quality", "lines"])
+def test_columns_named_like_scratch_columns(spark, rows, name):
+    df = spark.createDataFrame(rows, DOCS)
+    more = df.select("*", *[F.concat(F.lit(c), F.col("doc_id")).alias(c) for c in SCRATCH])
+    labels = spark.createDataFrame([(r[0], 1, None) for r in rows[:40]], LABELS)
+    plain, got = FRAMES[name](df, labels), FRAMES[name](more, labels)
+    assert set(got.columns) == set(plain.columns) | set(SCRATCH)
+    told = got.collect()
+    assert all(r[c] == f"{c}{r['doc_id']}" for r in told for c in SCRATCH)
+    assert sorted(map(str, got.select(*plain.columns).collect())) == sorted(map(str, plain.collect()))
+
+
 def test_empty_conversations_and_vectors(spark):
     assert chat.digests(chat.windows(spark.createDataFrame([], "conv_id long, turn long, role string, text string"))).count() == 0
     assert topk.top_k(spark.createDataFrame([], "vec_id long, embedding array<float>"), F.col("vec_id") % 50 == 0).count() == 0

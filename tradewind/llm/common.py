@@ -36,6 +36,12 @@ def python_workers(spark: SparkSession) -> None:
     context._tradewind_sent = True
 
 
+def apart(df: DataFrame, own: Sequence[str]) -> tuple[DataFrame, dict[str, str]]:
+    """df with its columns, but for `own`, under names that no operator uses, and the name of each."""
+    names = {c: c if c in own else f"caller_{i}" for i, c in enumerate(df.columns)}
+    return df.toDF(*names.values()), names
+
+
 def whole(text: Column) -> Column:
     return F.coalesce(text, F.lit(""))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.llm.common import documents, whole, words
+from tradewind.llm.common import apart, documents, whole, words
 from tradewind.session import staged
 
 MIN_WORDS = 8  # shorter lines are compared by characters, those under 8 characters exactly
@@ -170,8 +170,9 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
 
     Null doc_id comes first; null text counts as empty. Rows with equal doc_id
     and text count as one and lose the same lines. No rows give no rows. Further
-    columns stay; columns named n_lines or n_dropped are replaced.
+    columns stay, whatever their name; columns named n_lines or n_dropped are replaced.
     """
+    docs, names = apart(docs, ("doc_id", "text"))
     keyed = _keyed(docs)
     rows = staged(_classes(_lines(keyed)).select(*CLASS, "at").distinct())
     classes = rows.groupBy(*CLASS).agg(F.min("at").alias("first"), F.count("*").alias("c"))
@@ -188,8 +189,8 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     joined = joined.withColumns(
         {"text": text, "n_lines": F.size("_lines").cast("long"), "n_dropped": F.size("_dropped").cast("long")}
     )
-    extra = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
-    return joined.select(*extra, "n_lines", "n_dropped")
+    kept = [F.col(n).alias(c) for c, n in names.items() if c not in ("n_lines", "n_dropped")]
+    return joined.select(*kept, "n_lines", "n_dropped")
 
 
 def op6_line_dedup(spark, folder):

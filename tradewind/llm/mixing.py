@@ -66,13 +66,13 @@ def mix(docs: DataFrame, size: Column | None = None, weights: Sequence[int] = (5
 
     Null doc_id, text or source are values like others (null text: size 0).
     Rows with the same doc_id and text are taken alike. A source without words
-    has target 0 and times 0. No rows give no rows. Further columns stay; a
+    has target 0 and times 0. No rows give no rows. Further columns stay, whatever their name; a
     column of docs with one of the added names is replaced.
     """
     added = ["size", "source_size", "target", "times", "taken"]
-    kept = [c for c in docs.columns if c not in added]
     size = word_count(F.col("text")) if size is None else size
-    rows = docs.select(*kept, size.cast("long").alias("size"), F.xxhash64(F.lit(seed), "doc_id", "text").alias("_spread"))
+    names = {c: c if c in ("doc_id", "text", "source") else f"caller_{i}" for i, c in enumerate(docs.columns) if c not in added}
+    rows = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()], size.cast("long").alias("size"), F.xxhash64(F.lit(seed), "doc_id", "text").alias("_spread"))
 
     light = staged(rows.select(F.col("source").alias("_s"), "size", "_spread"))
     sources = staged(in_order(light.groupBy("_s").agg(F.sum("size").alias("source_size")), "_s", "_sid"))
@@ -110,7 +110,7 @@ def mix(docs: DataFrame, size: Column | None = None, weights: Sequence[int] = (5
     more = F.aggregate("_steps", F.lit(0), lambda t, x: t + F.when(_inside(x, t, max_epochs), 1).otherwise(0))
     times = F.when(F.col("source_size") > 0, F.col("_whole") + F.coalesce(more, F.lit(0))).otherwise(0).cast("long")
     out = out.withColumn("times", times)
-    return out.select(*kept, "size", "source_size", "target", "times", (F.col("size") * F.col("times")).alias("taken"))
+    return out.select(*[F.col(n).alias(c) for c, n in names.items()], "size", "source_size", "target", "times", (F.col("size") * F.col("times")).alias("taken"))
 
 
 def _inside(step: Column, taken: Column, max_epochs: int) -> Column:

@@ -11,7 +11,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.llm.common import documents, python_workers, whole
+from tradewind.llm.common import apart, documents, python_workers, whole
 from tradewind.session import staged
 
 ORDER = 5
@@ -345,11 +345,12 @@ def classify(docs: DataFrame, labels: DataFrame, high: float = HIGH) -> DataFram
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """docs without the rows that the classifier rejects."""
+    """docs without the rows that the classifier rejects; further columns stay, whatever their name."""
     found = classify(docs, labels)
     rejected = found.where(~F.col("keep")).select("key").distinct()
-    kept = docs.withColumn("_key", F.xxhash64("doc_id", whole(F.col("text"))))
-    return kept.join(rejected, kept["_key"] == rejected["key"], "left_anti").drop("_key")
+    rows, names = apart(docs, ("doc_id", "text"))
+    kept = rows.withColumn("key", F.xxhash64("doc_id", whole(F.col("text")))).join(rejected, "key", "left_anti")
+    return kept.select(*[F.col(n).alias(c) for c, n in names.items()])
 
 
 def op5_quality(spark, folder):
