@@ -10,18 +10,16 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
-from multiprocessing.pool import ThreadPool
+from fractions import Fraction
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator, RegressionEvaluator
-from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.util import inheritable_thread_target
 
 from tradewind.functions import vocab
 from tradewind.functions.numbers import (
@@ -32,6 +30,7 @@ from tradewind.functions.numbers import (
     segment_name,
 )
 from tradewind.operators.boosting import Boosted, Settings, boost
+from tradewind.operators.kmeans import kmeans
 from tradewind.operators.metrics import area_under_roc
 from tradewind.operators.oversample import oversample
 from tradewind.operators.ranking import average_rank
@@ -41,7 +40,6 @@ from tradewind.plans.dashboards import known_day
 from tradewind.session import shared_folder, staged
 
 SEED = 42
-PARALLEL_FITS = 4
 
 
 @dataclass
@@ -81,19 +79,31 @@ def _held(df: DataFrame, key: str) -> DataFrame:
 # --- clustering ---------------------------------------------------------------
 
 
-def best_kmeans(df: DataFrame, column: str, k: int, starts: int = 10, seed: int = SEED):
-    """The cheapest of several k-means fits, a few of them at a time."""
-
-    def fit(i: int):
-        return KMeans(k=k, seed=seed + i, featuresCol=column, predictionCol="cluster_id").fit(df)
+def _silhouette(df: DataFrame, column: str) -> float:
+    """Mean silhouette; not a number where there is one cluster only."""
+    if df.select("cluster_id").distinct().count() < 2:
+        return float("nan")
+    shown = df.select(array_to_vector(F.col(column)).alias(column), F.col("cluster_id").cast("double").alias("cluster_id"))
+    return ClusteringEvaluator(featuresCol=column, predictionCol="cluster_id").evaluate(shown)
 
-    with ThreadPool(min(starts, PARALLEL_FITS)) as pool:
-        fits = pool.map(inheritable_thread_target(df.sparkSession)(fit), range(starts))
-    return min(fits, key=lambda m: m.summary.trainingCost)
 
+def standardised(df: DataFrame, columns: Sequence[str], out: str) -> DataFrame:
+    """Add the array of the columns less their mean, in standard deviations (a constant column gives 0).
 
-def _silhouette(df: DataFrame, column: str) -> float:
-    return ClusteringEvaluator(featuresCol=column, predictionCol="cluster_id").evaluate(df)
+    Mean and spread come from exact sums of millionths, so they are the same however the rows are dealt.
+    """
+    sums = [F.count("*").alias("n")]
+    for i, c in enumerate(columns):
+        steps = F.round(F.col(c).cast("double") * 1e6).cast("decimal(19,0)")
+        sums += [F.sum(steps).alias(f"s{i}"), F.sum((steps * steps).cast("decimal(28,0)")).alias(f"q{i}")]
+    row = df.agg(*sums).first()
+    scaled = []
+    for i, c in enumerate(columns):
+        n, s, q = row["n"], Fraction(row[f"s{i}"] or 0), Fraction(row[f"q{i}"] or 0)
+        spread = float((q - s * s / n) / (n - 1)) ** 0.5 / 1e6 if n > 1 else 0.0
+        mean = float(s / n) / 1e6 if n else 0.0
+        scaled.append((F.col(c).cast("double") - mean) / spread if spread else F.lit(0.0))
+    return df.withColumn(out, F.array(*scaled))
 
 
 def segments_of(means: DataFrame) -> DataFrame:
@@ -114,20 +124,18 @@ def customer_segments(
     """Recency, frequency and log value, standardised and clustered."""
     rfm = features.rfm(done, anchor)
     rfm = rfm.withColumn("_log_value", F.log1p(F.col("monetary_total").cast("double")))
-    assembler = VectorAssembler(inputCols=["_recency", "frequency_orders", "_log_value"], outputCol="_raw")
-    scaler = StandardScaler(inputCol="_raw", outputCol="_scaled", withMean=True, withStd=True)
     # a customer without a known day counts as one that has been away longest
     longest = rfm.agg(F.max("recency_days")).scalar()
     filled = rfm.withColumn("_recency", F.coalesce("recency_days", longest, F.lit(0)))
-    data = _held(filled, "customer_unique_id")
-    prepared = Pipeline(stages=[assembler, scaler]).fit(data).transform(data)
-    model = best_kmeans(prepared, "_scaled", k, starts)
-    placed = model.transform(prepared)
+    data = _kept(filled)
+    prepared = standardised(data, ["_recency", "frequency_orders", "_log_value"], "_scaled")
+    model = kmeans(prepared, "_scaled", "customer_unique_id", k, starts, SEED)
+    placed = model.assign(prepared, "_scaled", "cluster_id")
     columns = ["recency_days", "frequency_orders", "monetary_total"]
     means = placed.groupBy("cluster_id").agg(*[F.avg(c).alias(c) for c in columns])
     # one row per cluster
     named = placed.join(F.broadcast(segments_of(means)), "cluster_id")
-    metrics = {"silhouette": _silhouette(placed, "_scaled"), "cost": model.summary.trainingCost}
+    metrics = {"silhouette": _silhouette(placed, "_scaled"), "cost": model.cost}
     return Fitted(named.select("customer_unique_id", *columns, "customer_segment"), metrics, model, data)
 
 
@@ -136,14 +144,14 @@ SELLER_TIERS = ["Top Seller", "Average", "Underperformer"]
 
 def seller_tiers(done: DataFrame, starts: int = 10) -> Fitted:
     """Composite score, clustered in three; clusters are named by falling mean score."""
-    data = _held(features.seller_scores(done), "seller_id")
-    prepared = VectorAssembler(inputCols=["seller_performance_score"], outputCol="_score").transform(data)
-    model = best_kmeans(prepared, "_score", len(SELLER_TIERS), starts)
-    centres = [float(c[0]) for c in model.clusterCenters()]
-    by_score = sorted(range(len(centres)), key=lambda i: -centres[i])
-    tier = F.element_at(F.array(*[F.lit(SELLER_TIERS[by_score.index(i)]) for i in range(len(centres))]), F.col("cluster_id") + 1)
-    placed = model.transform(prepared)
-    metrics = {"silhouette": _silhouette(placed, "_score"), "cost": model.summary.trainingCost}
+    data = _kept(features.seller_scores(done))
+    prepared = data.withColumn("_score", F.array(F.col("seller_performance_score").cast("double")))
+    model = kmeans(prepared, "_score", "seller_id", len(SELLER_TIERS), starts, SEED)
+    placed = model.assign(prepared, "_score", "cluster_id")
+    # centres come in ascending order
+    falling = [SELLER_TIERS[len(model.centres) - 1 - i] for i in range(len(model.centres))]
+    tier = F.get(F.array(*[F.lit(t) for t in falling]).cast("array<string>"), F.col("cluster_id"))
+    metrics = {"silhouette": _silhouette(placed, "_score"), "cost": model.cost}
     scores = placed.select("seller_id", "seller_performance_score", tier.alias("seller_tier"))
     return Fitted(scores, metrics, model, data)
 
