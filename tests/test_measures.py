@@ -125,3 +125,19 @@ def test_comparisons_share_their_scans(spark, query, most):
     frame = entry.queries()[query](spark, "/root/testdata/sf0.001")
     plan = frame._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan") <= most and "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_no_window_holds_all_values_of_an_attribute(star):
+    """Ranks are formed inside ranges; a window without partitioning sees one row per range."""
+    half = {"half": (dt.date(2000, 1, 1), dt.date(2000, 6, 30))}
+    for names, by, windows in [
+        (["category_rank"], ["product_category_name"], None),
+        (["category_rank"], ["year", "product_category_name"], None),
+        (["category_rank_change_yoy"], ["product_category_name"], half),
+    ]:
+        plan = evaluate(star, names, by=by, windows=windows)._jdf.queryExecution().optimizedPlan().toString()
+        found = [line for line in plan.splitlines() if "Window [" in line]
+        assert found
+        for line in found:
+            if line.count("], [") == 1:
+                assert line.rsplit("], [", 1)[1].startswith("_range#"), line

@@ -100,6 +100,25 @@ def test_ranked_with_one_value_holding_most_rows(spark):
         assert got[i] == (len({x for x in values if x > values[i]}) + 1, down_to / sum(values))
 
 
+def test_ranked_inside_groups(spark):
+    """A group with a third of all rows, a null group, nulls and ties, beside brute force."""
+    rows = [(i, None if i % 7 == 0 else "hot" if i % 3 else f"g{i % 5}", None if i % 11 == 0 else (i * 37) % 400) for i in range(1500)]
+    df = spark.createDataFrame(rows, "id int, g string, v long")
+    got = {r.id: r for r in ranked(df, "v", ["g"], dense="d", rank="r", above="a", share="s").collect()}
+    groups = {}
+    for i, g, v in rows:
+        if v is not None:
+            groups.setdefault(g, []).append(v)
+    assert got.keys() == {i for i, _, v in rows if v is not None}
+    for i, g, v in rows[::13]:
+        if v is not None:
+            own = groups[g]
+            larger = sum(x > v for x in own)
+            assert (got[i].d, got[i].r) == (len({x for x in own if x > v}) + 1, larger + 1)
+            assert got[i].a == larger / len(own) and got[i].s == sum(x for x in own if x >= v) / sum(own)
+    assert ranked(df.where("id < 0"), "v", ["g"], dense="d").count() == 0
+
+
 def test_top_k_and_argmax_break_ties_by_name(spark):
     df = spark.createDataFrame([("b", 5), ("a", 5), ("c", 9), ("d", None)], "n string, v int")
     assert [r.n for r in top_k(df, "v", 2, ["n"]).collect()] == ["c", "a"]

@@ -11,13 +11,14 @@ import datetime as dt
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.functions.numbers import ratio
 from tradewind.operators.ranking import ranked
 from tradewind.plans import measures as M
 from tradewind.plans.context import ATTRIBUTES, Context, Star, reach, reachable, rows
+from tradewind.session import staged
 
 Part = tuple[list[str], DataFrame, list[str]]
 
@@ -64,7 +65,10 @@ def _evaluate(star: Star, names: list[str], ctx: Context) -> DataFrame:
     plan, same = _planned(names, ctx)
     frame = _combine(star, _parts(star, plan, same, ctx), ctx)
     for level in _levels(plan, same):
-        frame = frame.withColumns({n: F.col(same[n]) if n in same else _derived(n, ctx) for n in level})
+        ranks = [n for n in level if n not in same and isinstance(M.MEASURES[n], M.Rank)]
+        frame = frame.withColumns({n: F.col(same[n]) if n in same else _derived(n) for n in level if n not in ranks})
+        for n in ranks:
+            frame = _with_rank(frame, n, M.MEASURES[n], ctx)
     return frame.select(*_groups(ctx), *names)
 
 
@@ -346,14 +350,10 @@ def _rank_change(star: Star, name: str, m: M.RankChange, ctx: Context) -> Part:
     lo, hi = next(iter(ctx.windows.values())) if ctx.windows else star.bounds
     now = {"now": (lo, hi)}
     before = {"before": (M.add_months(lo, -12), M.add_months(hi, -12))}
-    frames = []
-    for windows in (now, before):
-        values = _evaluate(star, [m.base], ctx.but(windows=windows))
-        values = values.where(F.col(m.base).isNotNull())
-        others = [a for a in ctx.by if a != m.attribute]
-        place = F.dense_rank().over(Window.partitionBy(*others).orderBy(F.col(m.base).desc()))
-        frames.append(values.select(*ctx.by, "_win", place.alias("_place")))
-    both = frames[0].unionByName(frames[1])
+    # both ranges are read in one pass
+    values = _evaluate(star, [m.base], ctx.but(windows=now | before))
+    others = [a for a in ctx.by if a != m.attribute]
+    both = ranked(values.select(*ctx.by, "_win", m.base), m.base, [*others, "_win"], dense="_place")
     place = {w: F.max(F.when(F.col("_win") == w, F.col("_place"))) for w in ("now", "before")}
     frame = both.groupBy(*ctx.by).agg((place["before"] - place["now"]).alias(name))
     return _groups(ctx), _labelled(frame, ctx), [name]
@@ -394,18 +394,21 @@ def _combine(star: Star, parts: list[Part], ctx: Context) -> DataFrame:
     return frame
 
 
-def _derived(name: str, ctx: Context) -> Column:
+def _derived(name: str) -> Column:
     m = M.MEASURES[name]
     if isinstance(m, M.Calc):
         return m.expr(F.col)
-    if isinstance(m, M.Trend):
-        return trend_arrow(F.col(m.base), m) if m.kind == "arrow" else trend_color(F.col(m.base), m)
+    return trend_arrow(F.col(m.base), m) if m.kind == "arrow" else trend_color(F.col(m.base), m)
+
+
+def _with_rank(frame: DataFrame, name: str, m: M.Rank, ctx: Context) -> DataFrame:
+    """Dense rank by falling base among the rows that differ in the attribute only; blank where the base is."""
     if m.attribute not in ctx.by:
         raise ValueError(f"{name} needs the attribute {m.attribute}")
     others = [c for c in _groups(ctx) if c != m.attribute]
-    # values of a category or state vocabulary
-    window = Window.partitionBy(*others).orderBy(F.col(m.base).desc_nulls_last())
-    return F.when(F.col(m.base).isNotNull(), F.dense_rank().over(window))
+    frame = staged(frame)
+    blank = frame.where(F.col(m.base).isNull()).withColumn(name, F.lit(None).cast("long"))
+    return ranked(frame, m.base, others, dense=name).withColumn(name, F.col(name).cast("long")).unionByName(blank)
 
 
 def _standing(star: Star, name: str, m: M.Standing, ctx: Context) -> Part:
