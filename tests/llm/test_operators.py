@@ -528,10 +528,11 @@ def test_odd_rows(spark, rows, empty, name):
     assert FRAMES[name](df.limit(0), none).count() == 0
 
 
-SCRATCH = ["_spread", "_k", "_s", "_sid", "_want", "_t", "_steps", "_whole", "_d", "_h", "_lines", "_dropped", "_key", "key", "near", "at", "no", "caller_1"]
+SCRATCH = ["_spread", "_k", "_s", "_sid", "_want", "_t", "_steps", "_whole", "_d", "_h", "_lines", "_dropped", "_key", "key", "near", "at", "no", "caller_1",
+           "_every", "_kept", "_row", "_range", "_c", "_halo", "out_0"]
 
 
-@pytest.mark.parametrize("name", ["mix", "quality", "lines"])
+@pytest.mark.parametrize("name", ["mix", "fingerprint", "quality", "lines"])
 def test_columns_named_like_scratch_columns(spark, rows, name):
     df = spark.createDataFrame(rows, DOCS)
     more = df.select("*", *[F.concat(F.lit(c), F.col("doc_id")).alias(c) for c in SCRATCH])

@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradewind.llm.common import ascii_lower, documents, whole, words
+from tradewind.llm.common import apart, ascii_lower, documents, whole, words
 from tradewind.session import staged
 
 BAND = (3.0, 4.6)  # natural logarithm of documents / documents with the term
@@ -81,29 +81,34 @@ class IMatch:
         self.chosen = chosen
 
     def add(self, df: DataFrame, text: str, name: str) -> DataFrame:
-        """Add the component array of a text column."""
+        """Add the component array of a text column; a column that is already called so is replaced."""
+        df, names = apart(df, [])
+        words_of = names[text]
         if self.inline is not None:
-            every = terms(F.col(text))
+            every = terms(F.col(words_of))
             kept = F.array_intersect(every, self.inline)
             df = df.withColumn("_every", every).withColumn("_kept", kept)
         else:
             # a lexicon of any size: one join on the term
-            df = df.withColumn("_every", terms(F.col(text)))
+            df = df.withColumn("_every", terms(F.col(words_of)))
             df = df.withColumn("_row", F.xxhash64("_every"))
             distinct = df.select("_row", F.explode("_every").alias("t")).distinct()
             kept = distinct.join(self.chosen, "t").groupBy("_row").agg(F.array_sort(F.collect_list("t")).alias("_kept"))
             df = df.join(kept, "_row", "left").drop("_row")
         kept = F.when(F.coalesce(F.size("_kept"), F.lit(0)) > 0, F.col("_kept")).otherwise(F.col("_every"))
         df = df.withColumn("_kept", kept)
-        return df.withColumn(name, F.array(*components(F.col("_kept")))).drop("_every", "_kept")
+        own = [F.col(c).alias(n) for n, c in names.items() if n != name]
+        return df.select(*own, F.array(*components(F.col("_kept"))).alias(name))
 
 
 def with_next(docs: DataFrame, carried: list[str], ranges: int) -> DataFrame:
     """Add next_<column> of the next row by ascending doc_id (null first, equal ids by text); the last row's next is the first.
 
     Rows are cut into ranges of doc_id by quantiles; the first row of a range is
-    also sent to the range before it, so one shuffle is enough.
+    also sent to the range before it, so one shuffle is enough. A column that is already called
+    next_<column> is replaced.
     """
+    docs, names = apart(docs, ["doc_id", "text"])
     probe = [i / ranges for i in range(1, ranges)]
     cuts = docs.agg(F.percentile_approx("doc_id", F.array(*[F.lit(p) for p in probe]), 20 * ranges)).first()[0] if probe else []
     edges = F.array(*[F.lit(c) for c in sorted(set(cuts or []))]).cast("array<long>")
@@ -119,8 +124,10 @@ def with_next(docs: DataFrame, carried: list[str], ranges: int) -> DataFrame:
         copies = F.when(F.col("doc_id").eqNullSafe(F.lit(head)), also).otherwise(copies)
     df = df.withColumn("_c", F.explode(copies)).withColumn("_range", F.col("_c.r")).withColumn("_halo", F.col("_c.halo"))
     in_order = Window.partitionBy("_range").orderBy("_halo", F.col("doc_id").asc_nulls_first(), "text")
-    df = df.withColumns({f"next_{c}": F.lead(c).over(in_order) for c in carried})
-    return df.where("NOT _halo").drop("_c", "_range", "_halo")
+    added = {f"next_{c}": F.lead(names[c]).over(in_order) for c in carried}
+    own = {n: F.col(c) for n, c in names.items() if n not in added}
+    df = df.select("_halo", *[v.alias(f"out_{i}") for i, v in enumerate([*own.values(), *added.values()])])
+    return df.where("NOT _halo").drop("_halo").toDF(*own, *added)
 
 
 def op2_imatch(spark, folder):
