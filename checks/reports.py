@@ -213,6 +213,27 @@ add(
     "SELECT * FROM churn",
     churn=_CHURN,
 )
+add(
+    "scaled_rfm",
+    "customer_unique_id:s recency:r frequency:r log_value:r",
+    lambda s, f: models.standardised(models.rfm_filled(done(s, f), ANCHOR), models.SEGMENT_FEATURES, "z").select(
+        "customer_unique_id", *[F.col("z")[i].alias(c) for i, c in enumerate(["recency", "frequency", "log_value"])]
+    ),
+    """
+    WITH x AS (
+      SELECT customer_unique_id, coalesce(recency_days, max(recency_days) OVER (), 0)::DOUBLE AS a,
+             frequency_orders::DOUBLE AS b, ln(1 + monetary_total::DOUBLE) AS c FROM rfm),
+    m AS (
+      SELECT avg(round(a * 1e6)) / 1e6 AS ma, stddev_samp(round(a * 1e6)) / 1e6 AS sa,
+             avg(round(b * 1e6)) / 1e6 AS mb, stddev_samp(round(b * 1e6)) / 1e6 AS sb,
+             avg(round(c * 1e6)) / 1e6 AS mc, stddev_samp(round(c * 1e6)) / 1e6 AS sc FROM x)
+    SELECT customer_unique_id, CASE WHEN sa > 0 THEN (a - ma) / sa ELSE 0 END AS recency,
+           CASE WHEN sb > 0 THEN (b - mb) / sb ELSE 0 END AS frequency,
+           CASE WHEN sc > 0 THEN (c - mc) / sc ELSE 0 END AS log_value
+    FROM x, m
+    """,
+    rfm=_RFM,
+)
 add(
     "churn_oversampling",
     "churned:i kept:i made:i",

@@ -118,17 +118,25 @@ def segments_of(means: DataFrame) -> DataFrame:
     return ranks.select("cluster_id", segment_name(mean_rank).alias("customer_segment"))
 
 
-def customer_segments(
-    done: DataFrame, anchor: str = vocab.ANCHOR_DATE, k: int = 4, starts: int = 10
-) -> Fitted:
-    """Recency, frequency and log value, standardised and clustered."""
+def rfm_filled(done: DataFrame, anchor: str = vocab.ANCHOR_DATE) -> DataFrame:
+    """Recency, frequency and value of every customer, with `_recency` without gaps and `_log_value`."""
     rfm = features.rfm(done, anchor)
-    rfm = rfm.withColumn("_log_value", F.log1p(F.col("monetary_total").cast("double")))
     # a customer without a known day counts as one that has been away longest
     longest = rfm.agg(F.max("recency_days")).scalar()
     filled = rfm.withColumn("_recency", F.coalesce("recency_days", longest, F.lit(0)))
+    return filled.withColumn("_log_value", F.log1p(F.col("monetary_total").cast("double")))
+
+
+SEGMENT_FEATURES = ["_recency", "frequency_orders", "_log_value"]
+
+
+def customer_segments(
+    done: DataFrame, anchor: str = vocab.ANCHOR_DATE, k: int = 4, starts: int = 10
+) -> Fitted:
+    """Recency, frequency and log value, standardised and clustered."""
+    filled = rfm_filled(done, anchor)
     data = _kept(filled)
-    prepared = standardised(data, ["_recency", "frequency_orders", "_log_value"], "_scaled")
+    prepared = standardised(data, SEGMENT_FEATURES, "_scaled")
     model = kmeans(prepared, "_scaled", "customer_unique_id", k, starts, SEED)
     placed = model.assign(prepared, "_scaled", "cluster_id")
     columns = ["recency_days", "frequency_orders", "monetary_total"]
