@@ -2,7 +2,9 @@
 
 import math
 import random
+import time
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -345,6 +347,32 @@ def test_short_lines_within_one_character(spark):
     assert dropped == {1, 2, 3, 6, 7, 11, 17, 21}
 
 
+def shuffle_files(spark):
+    folders = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().localDirsString()
+    return {f for d in folders for f in Path(d).rglob("shuffle_*.data")}
+
+
+def test_line_dedup_frees_the_shuffles_of_its_steps(spark):
+    rows = [(i, f"line {i % 7} of a text with some more words\nand one line {i} alone") for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    before = shuffle_files(spark)
+    got = lines.dedup_lines(df)
+    end = time.time() + 10
+    while (left := shuffle_files(spark) - before) and time.time() < end:
+        time.sleep(0.2)
+    assert not left
+    assert got.where("n_dropped > 0").count() == 59
+
+
+def test_lines_with_other_white_space(spark):
+    long = "one two three four five six seven eight nine"
+    rows = ["", " ", long, "  one\ttwo  three\x0bfour five six\fseven eight nine\r", "one two three four five\u00a0six seven eight nine",
+            "one two\t\tthree four five six seven eight ten", "\t", "short line", " short\tline "]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = {r["doc_id"]: r["n_dropped"] for r in lines.dedup_lines(df).collect()}
+    assert {d for d, n in got.items() if n} == {3, 5, 8}
+
+
 # 7 -----------------------------------------------------------------------------
 
 

@@ -36,6 +36,15 @@ def python_workers(spark: SparkSession) -> None:
     context._tradewind_sent = True
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of a frame when its action ends.
+
+    Otherwise they stay until the driver happens to collect the plan, and steps
+    that are written one after another hold the disk of all of them at once.
+    """
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+
+
 def apart(df: DataFrame, own: Sequence[str]) -> tuple[DataFrame, dict[str, str]]:
     """df with its columns, but for `own`, under names that no operator uses, and the name of each."""
     names = {c: c if c in own else f"caller_{i}" for i, c in enumerate(df.columns)}

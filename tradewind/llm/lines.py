@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.llm.common import apart, documents, whole, words
+from tradewind.llm.common import apart, documents, free_shuffles, whole, words
 from tradewind.session import staged
 
 MIN_WORDS = 8  # shorter lines are compared by characters, those under 8 characters exactly
@@ -20,9 +20,17 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.withColumns({"_d": F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63)).cast("long")), "_h": F.xxhash64(text)})
 
 
+def _spaced(line: Column) -> Column:
+    """The words of a line with one blank between them; only lines with other white space are split."""
+    other = F.lit(False)
+    for c in ("  ", "\t", "\x0b", "\f", "\r"):
+        other = other | F.contains(line, F.lit(c))
+    return F.when(other, F.array_join(words(line), " ")).otherwise(F.trim(line))
+
+
 def _lines(keyed: DataFrame) -> DataFrame:
     exploded = keyed.select(*ROW, F.posexplode(F.split(whole(F.col("text")), "\n")).alias("no", "line"))
-    return exploded.select(*ROW, "no", words(F.col("line")).alias("w"))
+    return exploded.select(*ROW, "no", _spaced(F.col("line")).alias("s"))
 
 
 def _tokens(w: Column) -> Column:
@@ -47,36 +55,43 @@ def _without(w: Column, i: Column) -> Column:
     return F.concat(F.slice(w, F.lit(1), i), F.slice(w, i + 2, F.size(w) - i - 1))
 
 
-def _classes(lines: DataFrame) -> DataFrame:
-    """Lines with equal words, their earliest place, and the hashes of the halves of their tokens.
+def _classes(lines: DataFrame, halved: bool = False) -> DataFrame:
+    """Lines with equal words and their place; if `halved`, also the hashes of the halves of their tokens.
 
     Of two lines within one token, of m tokens the shorter, either the first or
     the last m/2 tokens agree. A line can be the shorter (m = n) or the longer
-    one (m = n - 1).
+    one (m = n - 1). Halves are cut from the text, so that no line is taken apart.
     """
+    s, n = F.col("s"), F.col("n")
+    rows = lines.where(s != "").select(
+        F.xxhash64("s").alias("k1"), F.xxhash64(F.lit(1), "s").alias("k2"), F.struct(*ROW, "no").alias("at"), *["s"] * halved
+    )
+    if not halved:
+        return rows
+    blanks = F.octet_length(s) - F.octet_length(F.replace(s, F.lit(" "), F.lit("")))
+    rows = rows.withColumn("words", blanks + 1)
+    long = F.col("words") >= MIN_WORDS
+    rows = rows.withColumn("n", F.when(long, F.col("words")).otherwise(F.char_length(s)))
+
     def halves(m):
         half = F.floor(m / 2).cast("int")
-        return [F.xxhash64(_first_words(F.col("t"), half), m), F.xxhash64(_last_words(F.col("t"), half), m, F.lit(1))]
-
-    n = F.size("t")
-    own, shorter = halves(n), halves(n - 1)
-    keys = F.when(n > MIN_WORDS, F.array(*own, *shorter)).when(n == MIN_WORDS, F.array(*own))
-    rows = lines.where(F.size("w") > 0).withColumn("t", _tokens(F.col("w"))).select(
-        F.xxhash64("w").alias("k1"),
-        F.xxhash64(F.lit(1), "w").alias("k2"),
-        F.struct(*ROW, "no").alias("at"),
-        keys.alias("halves"),
-    )
-    return rows
+        first = F.when(long, F.call_function("substring_index", s, F.lit(" "), half)).otherwise(F.substring(s, F.lit(1), half))
+        last = F.when(long, F.call_function("substring_index", s, F.lit(" "), -half)).otherwise(F.substring(s, n - half + 1, half))
+        return [F.xxhash64(first, m, long), F.xxhash64(last, m, long, F.lit(1))]
+
+    keys = F.when(n > MIN_WORDS, F.array(*halves(n), *halves(n - 1))).when(n == MIN_WORDS, F.array(*halves(n)))
+    return rows.select(*CLASS, "at", keys.alias("halves"))
 
 
 def near_lines(docs: DataFrame) -> DataFrame:
     """Classes (k1, k2) of lines that have an earlier line, by (doc_id, line), within one token: a
     word changed, added or taken away, both lines of at least MIN_WORDS words, or a character, both
     of fewer words and at least MIN_WORDS characters."""
+    free_shuffles(docs.sparkSession)
     keyed = _keyed(docs)
-    rows = _classes(_lines(keyed)).where("halves IS NOT NULL")
-    classes = staged(rows.groupBy(*CLASS).agg(F.min("at").alias("at"), F.first("halves").alias("halves")))
+    # told after the grouping, as a filter before it would hash every line once more
+    classes = _classes(_lines(keyed), halved=True).groupBy(*CLASS).agg(F.min("at").alias("at"), F.first("halves").alias("halves"))
+    classes = staged(classes.where("halves IS NOT NULL"))
     halves = classes.select(*CLASS, F.explode("halves").alias("half"))
     shared = halves.groupBy("half").agg(F.count("*").alias("c")).where("c > 1").select("half")
     alike = halves.join(shared, "half").select(*CLASS).distinct().join(classes.drop("halves"), CLASS)
@@ -172,9 +187,10 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     and text count as one and lose the same lines. No rows give no rows. Further
     columns stay, whatever their name; columns named n_lines or n_dropped are replaced.
     """
+    free_shuffles(docs.sparkSession)
     docs, names = apart(docs, ("doc_id", "text"))
     keyed = _keyed(docs)
-    rows = staged(_classes(_lines(keyed)).select(*CLASS, "at").distinct())
+    rows = staged(_classes(_lines(keyed)).distinct())
     classes = rows.groupBy(*CLASS).agg(F.min("at").alias("first"), F.count("*").alias("c"))
     near = near_lines(docs).withColumn("near", F.lit(True))
     classes = classes.join(near, CLASS, "left").where("c > 1 OR near")
