@@ -7,6 +7,7 @@ import zlib
 from pathlib import Path
 
 import numpy as np
+import pandas as pd
 import pytest
 import tiktoken  # noqa: F401
 from pyspark.sql import functions as F
@@ -295,6 +296,44 @@ def test_training_takes_every_trusted_text(spark, monkeypatch):
     assert seen.value.args == (333_334 - held, 333_334 - held, 0)
 
 
+def test_trusted_texts_are_marked_before_they_are_shuffled(spark):
+    docs = spark.range(1000).select(F.col("id").alias("doc_id"), F.col("id").cast("string").alias("text"))
+    got = quality.chosen(docs, docs.where("doc_id % 3 = 0").select("doc_id").distinct())
+    joins = [x for x in got._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join" in x]
+    # the outer join, by doc_id, reads what the inner one, with the bitmap, leaves
+    assert len(joins) == 2 and "doc_id" in joins[0] and "_bucket" in joins[1]
+    assert sorted(r["doc_id"] for r in got.collect()) == list(range(0, 1000, 3))
+
+
+def test_small_partitions_share_a_chunk(spark, docs):
+    df = docs.select("doc_id", F.xxhash64("doc_id", F.coalesce("text", F.lit(""))).alias("key"), "text").dropDuplicates(["key"])
+    model = quality.train(docs.where("doc_id % 2 = 0"))
+    many = quality.score(spark.createDataFrame(df.collect(), df.schema).repartition(60), model)
+    cores = spark.sparkContext.defaultParallelism
+    assert many._jdf.queryExecution().optimizedPlan().toString().count(f"Repartition {cores}, false") == 2
+    one = {r["key"]: r for r in quality.score(df.coalesce(1), model).collect()}
+    got = {r["key"]: r for r in many.collect()}
+    assert got.keys() == one.keys()
+    assert all(r["n"] == one[k]["n"] and math.isclose(r["loss"], one[k]["loss"], rel_tol=1e-9, abs_tol=1e-12) for k, r in got.items())
+
+
+def test_chunks_of_pieces(monkeypatch):
+    monkeypatch.setattr(quality, "PIECE", 50)
+    monkeypatch.setattr(quality, "CHUNK", 300)
+    monkeypatch.setattr(quality, "HELD_GRAMS", 20)
+    rng = random.Random(4)
+    texts = ["", "今天天气很好", "x" * 700] + [sentence(rng, rng.randint(0, 12)) for _ in range(60)]
+    pdf = pd.DataFrame({"doc_id": range(len(texts)), "key": [7 * i for i in range(len(texts))], "text": texts})
+    packed = list(quality._chunks(iter([pdf[:20], pdf[20:]]), True))
+    asked = list(quality._chunks(iter([pdf[:20], pdf[20:]]), False))
+    assert len(packed) > 3 and [set(x["chunk"]) for x in packed] == [set(x["chunk"]) for x in asked]
+    assert [i for x in packed for ids in x["ids"] for i in ids] == list(range(len(texts)))
+    for x, y in zip(packed, asked):
+        grams = quality.windows([texts[i] for ids in x["ids"] for i in ids])[0]
+        assert sorted(y[y["o"] == quality.ORDER]["g"]) == sorted(set(grams.tolist()))
+        assert not y.duplicated(["o", "g"]).any()
+
+
 # 6 -----------------------------------------------------------------------------
 
 

@@ -3,22 +3,24 @@
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.llm.common import apart, documents, python_workers, whole
+from tradewind.llm.common import apart, documents, free_shuffles, python_workers, whole
 from tradewind.session import staged
 
 ORDER = 5
 BITS = 12  # an n-gram is packed from 12-bit codes of its characters
 FOLD = 2048  # code points from here on share 2047 codes
 START = 1  # code of the place before a text (a control character otherwise)
-CHUNK = 24_000_000  # characters of a chunk that is scored together
+CHUNK = 64_000_000  # weight (weight()) of the documents that share a chunk and so ask once for an n-gram; at most half as much again
+HELD_GRAMS = 8_000_000  # n-grams of a chunk that are held before they are merged
 PIECE = 1_000_000  # characters that are held as arrays at a time
 UNIFORM = 1.0 / 4096  # probability of a character by no count at all
 MARKS = 24  # bits of the hash by which documents that surely aren't trusted are left out before the shuffle
@@ -143,45 +145,61 @@ def discounts(n: list[int]) -> tuple[float, float, float]:
     return tuple(min(max(d, 0.05), i - 0.05) for i, d in zip((1, 2, 3), found))
 
 
+def weight(text: Column) -> Column:
+    """Characters of a text, and five times those of scripts with many characters, which share few n-grams."""
+    return 2 * F.octet_length(text).cast("long") - F.char_length(text)
+
+
 def _chunks(batches: Iterator[pd.DataFrame], with_texts: bool) -> Iterator[pd.DataFrame]:
     """Chunks of documents as they come: their texts packed, or the n-grams that they need.
 
     A chunk is named by a hash of its rows, so a name never stands for other rows.
+    Only a piece of it is held as text; the rest is packed or reduced to n-grams.
     """
     packer = zstandard.ZstdCompressor(level=7)
-    rows: list[tuple] = []
-    size = 0
+    name, piece, out, size, chars = hashlib.blake2b(digest_size=8), [], [], 0, 0
+
+    def close():
+        """Pack the piece, or add its n-grams."""
+        ids, keys, texts = (list(x) for x in zip(*piece))
+        name.update(np.array(keys, np.int64).tobytes())
+        if with_texts:
+            blob = packer.compress("\x00".join(texts).encode("utf-8", "surrogatepass"))
+            out.append((ids, keys, np.cumsum([len(t) for t in texts]).astype(np.int64).tobytes(), blob))
+        else:
+            out.append(np.unique(windows(texts)[0]))
+            if len(out) > 1 and sum(map(len, out[1:])) > max(HELD_GRAMS, len(out[0])):
+                out[:] = [np.unique(np.concatenate(out))]
 
     def emit():
-        keys = np.array([r[1] for r in rows], np.int64)
-        name = int.from_bytes(hashlib.blake2b(keys.tobytes(), digest_size=8).digest(), "little", signed=True)
-        texts = [r[2] for r in rows]
+        chunk = int.from_bytes(name.digest(), "little", signed=True)
         if with_texts:
-            out = []
-            for a, b in pieces(texts):
-                blob = packer.compress("\x00".join(texts[a:b]).encode("utf-8", "surrogatepass"))
-                ends = np.cumsum([len(t) for t in texts[a:b]]).astype(np.int64).tobytes()
-                out.append((name, [r[0] for r in rows[a:b]], [r[1] for r in rows[a:b]], ends, blob))
-            return pd.DataFrame(out, columns=["chunk", "ids", "keys", "ends", "blob"])
-        top = np.unique(np.concatenate([np.unique(windows(texts[a:b])[0]) for a, b in pieces(texts)]))
+            return pd.DataFrame([(chunk, *x) for x in out], columns=["chunk", "ids", "keys", "ends", "blob"])
+        grams = np.unique(np.concatenate(out))
         frames = []
-        grams = top
         for o in range(ORDER, 0, -1):
             contexts = np.unique(grams >> BITS)
             shorter = np.unique(grams & ((1 << (BITS * (o - 1))) - 1))
-            frames.append(pd.DataFrame({"chunk": name, "o": o, "g": grams}))
+            frames.append(pd.DataFrame({"chunk": chunk, "o": o, "g": grams}))
             grams = np.union1d(contexts, shorter) if o > 1 else np.zeros(1, np.int64)
-        frames.append(pd.DataFrame({"chunk": name, "o": 0, "g": np.zeros(1, np.int64)}))
+        frames.append(pd.DataFrame({"chunk": chunk, "o": 0, "g": np.zeros(1, np.int64)}))
         return pd.concat(frames)
 
     for pdf in batches:
         for row in zip(pdf["doc_id"].tolist(), pdf["key"].tolist(), pdf["text"].tolist()):
-            rows.append(row)
-            size += len(row[2]) + 1
-            if size >= CHUNK:
+            piece.append(row)
+            chars += len(row[2])
+            size += 2 * len(row[2].encode("utf-8", "surrogatepass")) - len(row[2])
+            full = size >= CHUNK * 3 // 2
+            if full or chars >= PIECE:
+                close()
+                piece, chars = [], 0
+            if full:
                 yield emit()
-                rows, size = [], 0
-    if rows:
+                name, out, size = hashlib.blake2b(digest_size=8), [], 0
+    if piece:
+        close()
+    if out:
         yield emit()
 
 
@@ -235,10 +253,14 @@ def score(docs: DataFrame, model: DataFrame) -> DataFrame:
 
     Documents stay in chunks as they are read. A chunk asks for its distinct
     n-grams, which are joined with the sharded counts, and gets their weights
-    back; so texts are moved once, packed, and each n-gram once a chunk.
+    back; so texts are moved once, packed, and each n-gram once a chunk. Small
+    partitions are read together, up to CHUNK each, as long as every core has one.
     """
-    python_workers(docs.sparkSession)
+    spark = docs.sparkSession
+    python_workers(spark)
     rows = docs.select("doc_id", "key", whole(F.col("text")).alias("text"))
+    total = rows.agg(F.sum(weight(F.col("text")))).first()[0] or 0
+    rows = rows.coalesce(max(spark.sparkContext.defaultParallelism, math.ceil(total / CHUNK)))
     asked = rows.mapInPandas(lambda it: _chunks(it, False), "chunk long, o int, g long")
     known = asked.join(model, ["o", "g"], "left").where("o = 0 OR p IS NOT NULL OR bow IS NOT NULL")
     known = known.select("chunk", "o", "g", F.col("p").cast("float").alias("p"), F.col("bow").cast("float").alias("bow"))
@@ -251,10 +273,11 @@ def score(docs: DataFrame, model: DataFrame) -> DataFrame:
 
 
 def chosen(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of docs (doc_id, text) whose doc_id is one of ids, without a bound on their number.
+    """Rows of docs (doc_id, text) whose doc_id is one of ids, each there once, without a bound on their number.
 
     A bitmap of hashed ids, of 2 MB whatever their number, leaves out most other
     rows where they are read; texts of the rest are shuffled and joined exactly.
+    A semi join would be moved below the bitmap, and all texts be shuffled.
     """
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << MARKS)) + 1
     bucket, bit = F.bitmap_bucket_number(place), F.bitmap_bit_position(place)
@@ -262,7 +285,7 @@ def chosen(docs: DataFrame, ids: DataFrame) -> DataFrame:
     rows = docs.withColumns({"_b": bucket, "_bit": bit}).join(F.broadcast(maps), F.col("_b") == F.col("_bucket"))
     byte = F.conv(F.hex(F.substring("_map", (F.col("_bit") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("long")
     marked = byte.bitwiseAND(F.expr("shiftleft(1L, cast(_bit % 8 AS int))")) != 0
-    return rows.where(marked).select(*docs.columns).join(ids, "doc_id", "left_semi")
+    return rows.where(marked).select(*docs.columns).join(ids, "doc_id").select(*docs.columns)
 
 
 def bounds(rows: DataFrame, sure: DataFrame, high: float) -> DataFrame:
@@ -328,6 +351,7 @@ def classify(docs: DataFrame, labels: DataFrame, high: float = HIGH) -> DataFram
     rows. Null or repeated labels, and null doc_ids in them, are no trouble: one
     label of quality 1 makes a document trusted.
     """
+    free_shuffles(docs.sparkSession)
     text = whole(F.col("text"))
     key = F.xxhash64("doc_id", text)
     held = F.pmod(F.xxhash64(F.lit(5), text), F.lit(HELD)) == 0
