@@ -1,9 +1,11 @@
 import datetime as dt
+import time
 from decimal import Decimal
 
 from pyspark.sql import functions as F
 
 from tradewind.plans import calendar, cleaning, order_table, star
+from tradewind.plans.warehouse import Warehouse
 
 T1, T2 = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2)
 
@@ -226,3 +228,29 @@ def test_date_spine(spark):
     assert days.count() == 1827 + 2
     assert calendar.visible_days(days).count() == 1827
     assert calendar.extend_spine(days, "2020-12-30", "2021-01-02").count() == 1827 + 2 + 2
+
+
+def shuffle_files(spark):
+    held = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return sum("/shuffle_" in f for f in held.mkString("\n").split("\n"))
+
+
+def test_a_load_leaves_neither_shuffle_files_nor_steps(spark, tmp_path):
+    house, frames = Warehouse(spark, {}, str(tmp_path)), build(spark)
+    house._ready = dict(frames)
+    before, steps = shuffle_files(spark), []
+    table = house["order_table"]
+    for _ in range(50):  # files go in the background
+        if shuffle_files(spark) <= before:
+            break
+        time.sleep(0.2)
+    assert shuffle_files(spark) <= before
+    assert not list((tmp_path / "_steps").iterdir())
+
+    def seen(df, keep=False):
+        steps.append(df.columns)
+        return df
+
+    whole = order_table.build_order_table(frames, with_scores=False, step=seen)
+    assert len(steps) == 5 and table.columns == whole.columns
+    assert sorted(map(str, table.collect())) == sorted(map(str, whole.collect()))
