@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tests.llm import brute
+from tradewind import session
 from tradewind.llm import bpe, chat, fingerprints, jaccard, lengths, lines, mixing, quality, sharding, topk
 from tradewind.llm.links import components
 
@@ -614,3 +615,22 @@ def test_columns_named_like_scratch_columns(spark, rows, name):
 def test_empty_conversations_and_vectors(spark):
     assert chat.digests(chat.windows(spark.createDataFrame([], "conv_id long, turn long, role string, text string"))).count() == 0
     assert topk.top_k(spark.createDataFrame([], "vec_id long, embedding array<float>"), F.col("vec_id") % 50 == 0).count() == 0
+
+
+def test_jaccard_stores_links_once(spark, monkeypatch):
+    """Near copies meet in many buckets; their links are stored without repeats."""
+    monkeypatch.setattr(jaccard, "BUCKET", 50)
+    stored = []
+
+    def staged(df):
+        out = session.staged(df)
+        if out.columns == ["a", "b"]:
+            stored.append((out.count(), out.distinct().count()))
+        return out
+
+    monkeypatch.setattr(jaccard, "staged", staged)
+    words = [f"w{i}" for i in range(300)]
+    rows = [(d, " ".join([*words[:d], f"own{d}", *words[d:]])) for d in range(40)]
+    found = jaccard.near_classes(spark.createDataFrame(rows, "doc_id long, text string"), 5, 80)
+    assert {r["component_id"] for r in found.collect()} == {0}
+    assert all(n == different for n, different in stored)

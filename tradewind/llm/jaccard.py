@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.llm.common import ascii_lower, documents, python_workers, whole
+from tradewind.llm.common import ascii_lower, documents, free_shuffles, python_workers, whole
 from tradewind.llm.links import components
 from tradewind.session import staged
 
@@ -455,6 +455,7 @@ def near_classes(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     """
     spark = docs.sparkSession
     python_workers(spark)
+    free_shuffles(spark)
     texts = docs.select("doc_id", ascii_lower(whole(F.col("text"))).cast("binary").alias("text"))
     schema = "doc_id long, n long, d1 long, d2 long, keys array<long>"
     sets = staged(texts.mapInPandas(_prefixes(n, percent), schema))
@@ -464,7 +465,8 @@ def near_classes(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     size_class = F.floor(F.log("n") / F.lit(float(np.log(CLASS)))).cast("short")
     reach = int(np.ceil(np.log(100 / percent) / np.log(CLASS))) + 1
     keyed = sets.where("n > 0 AND doc_id IS NOT NULL").select(F.xxhash64("n", "d1", "d2").alias("k"), size_class.alias("c"), "keys")
-    families = staged(components(staged(candidate_links(keyed, reach))))
+    # many buckets find the same links: they are made distinct before they are stored
+    families = staged(components(candidate_links(keyed, reach)))
 
     # linked sets are in one coarse size class or in neighbouring ones
     coarse = F.floor(F.log("n") / F.lit(float(np.log(100 / percent) * 1.001))).cast("int")
@@ -492,7 +494,7 @@ def near_classes(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     tasks = met.withColumn("bin", F.pmod(F.xxhash64("family", "left", "right"), F.lit(n_bins)))
     held = _marked(texts, members).join(tasks, "doc_id")
     links = held.groupBy("bin").applyInPandas(_join(n, percent), "a long, b long")
-    linked = staged(components(staged(links)))
+    linked = staged(components(links))
 
     out = sets.join(classes, ["n", "d1", "d2"], "left")
     out = out.select("doc_id", "n", F.when(F.col("n") > 0, F.coalesce("rep", "doc_id")).otherwise(F.col("doc_id")).alias("rep"))
